@@ -217,7 +217,8 @@ class Fixture:
     def _staged(self, name: str, make) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _STAGED:
-            _STAGED[key] = stage(make(), name)
+            # The source tables are one small file each; spread the rows so that every core has work.
+            _STAGED[key] = stage(make().repartition(self.spark.sparkContext.defaultParallelism), name)
         return _STAGED[key]
 
     @cached_property

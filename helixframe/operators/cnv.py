@@ -142,7 +142,7 @@ def cnv_discover(scores: DataFrame, p: float = 1e-8, n: float = 6, scale: float
     A three-state hidden Markov model runs along the targets of one sample on one contig. Its group is
     bounded by the number of targets on a contig, whatever the number of reads or samples.
     """
-    def call(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def call(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start0", "end0"], kind="stable")
         starts, ends = pdf["start0"].to_numpy(), pdf["end0"].to_numpy()
         rows = [(key[1], int(starts[a]), int(ends[a:b + 1].max()), _STATES[k], key[0], b - a + 1, quality)
