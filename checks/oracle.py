@@ -352,7 +352,7 @@ sized AS (SELECT *, avg(mean_depth) OVER (PARTITION BY target) AS m FROM cover W
 ts AS (SELECT * FROM sized WHERE m BETWEEN 0.05 AND 500),
 ok AS (SELECT sample FROM ts GROUP BY sample HAVING avg(mean_depth) BETWEEN 0.01 AND 200 AND coalesce(stddev_samp(mean_depth), 0) <= 150),
 centred AS (SELECT sample, target, mean_depth - avg(mean_depth) OVER (PARTITION BY target) AS value FROM ts WHERE sample IN (SELECT sample FROM ok))"""
-_add("cnv_filter_matrix", f"WITH {_CENTRED} SELECT sample, target, round(value, 6) AS value FROM centred", "reads", "targets")
+_add("cnv_filter_matrix", f"WITH {_CENTRED} SELECT sample, target, round(value, 9) AS value FROM centred", "reads", "targets")
 _add("cnv_zscore", f"""WITH {_CENTRED}, spread AS (SELECT *, coalesce(stddev_samp(value) OVER (PARTITION BY target), 0) AS sd FROM centred),
 steady AS (SELECT * FROM spread WHERE sd <= 1.0)
 SELECT sample, target, round((value - avg(value) OVER (PARTITION BY sample)) / stddev_samp(value) OVER (PARTITION BY sample), 6) AS z FROM steady""", "reads", "targets")

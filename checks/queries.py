@@ -499,7 +499,7 @@ def genotype_biallelic(fx):
 @query
 def cnv_filter_matrix(fx):
     kept = cnv.cnv_filter_matrix(stage(_depth(fx), "target-depth"), **_DEPTHS)
-    return kept.select("sample", "target", F.round("value", 6).alias("value"))
+    return kept.select("sample", "target", F.round("value", 9).alias("value"))
 
 
 def _centred(fx):

@@ -1,4 +1,4 @@
-"""Reads against the reference: gap-free pieces joined to the reference block they start in."""
+"""Reads against the reference: gap-free pieces, each inside one reference block."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -13,7 +13,7 @@ BLOCK_WIDTH = 1024
 
 
 def reference_windows(ref_blocks: DataFrame) -> DataFrame:
-    """Each block together with the next one, so that a piece of up to one width lies in one row."""
+    """Each block together with the next one, for what starts in a block and may run on."""
     following = ref_blocks.select("contig", (F.col("block") - 1).alias("block"), F.col("seq").alias("_next"))
     return (ref_blocks.join(following, ["contig", "block"], "left")
             .select("contig", "block", F.concat("seq", F.coalesce("_next", F.lit(""))).alias("window"),
@@ -34,24 +34,29 @@ def mask_reference(ref_blocks: DataFrame, sites: DataFrame, width: int = BLOCK_W
             .select("contig", "block", F.when(F.col("_at").isNull(), F.col("seq")).otherwise(masked).alias("seq")))
 
 
+def cut_at_blocks(runs: DataFrame, keep: list[str], width: int) -> DataFrame:
+    """Split rows with ref_start, read_start, len where they cross into the next reference block."""
+    cut = runs.withColumn("block", F.explode(F.expr(f"sequence(ref_start div {width}, (ref_start + len - 1) div {width})")))
+    skip = F.greatest(F.col("block") * width - F.col("ref_start"), F.lit(0))
+    end = F.least(F.col("ref_start") + F.col("len"), (F.col("block") + 1) * width)
+    return cut.select(*keep, "block", (F.col("ref_start") + skip).alias("ref_start"),
+                      (F.col("read_start") + skip).cast("int").alias("read_start"),
+                      (end - F.col("ref_start") - skip).cast("int").alias("len"))
+
+
 def aligned_pieces(reads: DataFrame, keep: list[str], width: int) -> DataFrame:
-    """One row per gap-free aligned run, cut to at most ``width`` bases: ref_start, read_start, len."""
-    runs = (reads.select(*keep, F.explode(aligned_blocks("cigar", "start0")).alias("_b"))
-            .withColumn("_k", F.explode(F.sequence(F.lit(0), F.expr(f"(_b.len - 1) div {width}").cast("int")))))
-    shift = F.col("_k") * width
-    return runs.select(*keep, (F.col("_b.ref_start") + shift).alias("ref_start"),
-                       (F.col("_b.read_start") + shift).cast("int").alias("read_start"),
-                       F.least(F.lit(width), F.col("_b.len") - shift).cast("int").alias("len"))
+    """One row per gap-free aligned run and block: block, ref_start, read_start, len."""
+    runs = reads.select(*dict.fromkeys(keep + ["cigar", "start0"])).select(
+        *keep, F.explode(aligned_blocks("cigar", "start0")).alias("_b")).select(*keep, "_b.*")
+    return cut_at_blocks(runs.where("len > 0"), keep, width)
 
 
 def with_reference(pieces: DataFrame, ref_blocks: DataFrame, width: int, spread: list[str]) -> DataFrame:
     """Adds ``ref``: the reference bases under each piece. Pieces outside the reference are dropped."""
-    windows = reference_windows(ref_blocks)
-    located = pieces.withColumn("block", F.expr(f"ref_start div {width}"))
-    joined = lookup_join(located, windows, ["contig", "block"], "inner", spread,
-                         max_rows=max(1, _BROADCAST_BYTES // (2 * width)))
+    named = ref_blocks.select("contig", "block", F.col("seq").alias("_block_seq"))
+    joined = lookup_join(pieces, named, ["contig", "block"], "inner", spread, max_rows=max(1, _BROADCAST_BYTES // width))
     offset = (F.col("ref_start") - F.col("block") * width + 1).cast("int")
-    return joined.withColumn("ref", F.col("window").substr(offset, F.col("len"))).drop("window", "block_len")
+    return joined.withColumn("ref", F.col("_block_seq").substr(offset, F.col("len"))).drop("_block_seq")
 
 
 def base_rows(pieces: DataFrame, keep: list[str]) -> DataFrame:
@@ -66,4 +71,3 @@ def base_rows(pieces: DataFrame, keep: list[str]) -> DataFrame:
         F.col("sequence").substr(at + 1, F.lit(1)).alias("base"),
         (F.ascii(F.col("qualities").substr(at + 1, F.lit(1))) - 33).alias("quality"),
         F.col("ref").substr(F.col("_k") + 1, F.lit(1)).alias("ref_base"))
-
