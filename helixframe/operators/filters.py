@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import (aligned_length, cigar_ops, has_all, has_none, introns, reverse_complement,
                                   sam_flag_is)
 from helixframe.operators.intervals import READ_KEY
-from helixframe.runtime import lookup_join
+from helixframe.runtime import lookup_join, stage
 
 _MATE_BITS = 0xC0
 #: Annotated junctions of a genome: a few hundred thousand narrow rows.
@@ -85,6 +85,7 @@ def by_junction_filter(alignments: DataFrame, passing: DataFrame) -> DataFrame:
     """Keep rows all of whose junctions are among ``passing`` (contig, start0, end0)."""
     spliced, plain = _spliced(alignments)
     good = passing.select("contig", F.col("start0").alias("j_start0"), F.col("end0").alias("j_end0")).distinct()
+    good = stage(good, "passing-junctions")
     failing = lookup_join(_read_introns(spliced), good, ["contig", "j_start0", "j_end0"], "left_anti",
                           ["read_name"], _JUNCTION_ROWS)
     return plain.unionByName(spliced.join(failing.select(*READ_KEY), READ_KEY, "left_anti"))

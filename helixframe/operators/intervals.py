@@ -5,15 +5,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.runtime import SALTS, lookup_join, salt_of
+from helixframe.runtime import SALTS, lookup_join, salt_of, stage
 
 #: Growth of the bin width from one level to the next.
 _LEVEL_FACTOR = 8
 READ_KEY = ["read_name", "flag", "contig", "start0", "cigar"]
 
 
-def _bins(start, end, width: int):
-    return F.sequence(F.expr(f"{start} div {width}"), F.expr(f"({end} - 1) div {width}"))
+def _slots(level: int, width: int):
+    """Bins of one level a row lies in, each with the level."""
+    bins = F.sequence(F.expr(f"start0 div {width}"), F.expr(f"(end0 - 1) div {width}"))
+    return F.transform(bins, lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin")))
 
 
 def _levels(right: DataFrame, bin_width: int) -> list[int]:
@@ -57,16 +59,13 @@ def _pairs(left: DataFrame, right: DataFrame, bin_width: int, prefix: str, salts
     span = F.col("end0") - F.col("start0")
     if len(widths) == 1:
         level_of, width_of = F.lit(0), F.lit(widths[0])
-        left_bins = F.transform(_bins("start0", "end0", widths[0]),
-                                lambda b: F.struct(F.lit(0).alias("level"), b.alias("bin")))
+        left_bins = _slots(0, widths[0])
     else:
         level_of, width_of = F.lit(len(widths) - 1), F.lit(widths[-1])
         for k in range(len(widths) - 2, -1, -1):
             level_of = F.when(span <= widths[k], F.lit(k)).otherwise(level_of)
             width_of = F.when(span <= widths[k], F.lit(widths[k])).otherwise(width_of)
-        left_bins = F.concat(*[
-            F.transform(_bins("start0", "end0", w), lambda b, k=k: F.struct(F.lit(k).alias("level"), b.alias("bin")))
-            for k, w in enumerate(widths)])
+        left_bins = F.concat(*[_slots(k, w) for k, w in enumerate(widths)])
     out_left = left.columns
     binned_left = (left.withColumn("_salt", salt_of(hashable_columns(left), salts))
                    .withColumn("_slot", F.explode(left_bins))
@@ -98,11 +97,11 @@ def overlap_bases():
 
 def merge_intervals(intervals: DataFrame, window: int = 1 << 20) -> DataFrame:
     """Union of overlapping or touching intervals as contig, start0, end0."""
-    edges = depth_steps(intervals)
-    depth = running_total(edges, "delta", window).withColumn("before", F.col("total") - F.col("delta"))
-    borders = depth.where("(before = 0) <> (total = 0)")
-    closed = next_position(borders.select("contig", "pos0", "total"), window)
-    return closed.where("total > 0").select("contig", F.col("pos0").alias("start0"), F.col("next0").alias("end0"))
+    steps = stage(depth_steps(intervals), "depth-steps")
+    depth = running_total(steps, "delta", window).withColumn("before", F.col("total") - F.col("delta"))
+    borders = stage(depth.where("(before = 0) <> (total = 0)").select("contig", "pos0", "total"), "borders")
+    return (next_position(borders, borders, window).where("total > 0")
+            .select("contig", F.col("pos0").alias("start0"), F.col("next0").alias("end0")))
 
 
 def depth_steps(intervals: DataFrame) -> DataFrame:
@@ -121,7 +120,7 @@ def running_total(steps: DataFrame, value: str, window: int = 1 << 20) -> DataFr
     """Adds ``total``: sum of ``value`` up to and including each position of its contig.
 
     Sums run inside stretches of ``window`` bases; the totals of earlier stretches, one row per stretch,
-    are added from a small table, so no task ever sees a whole contig.
+    are added from a small table, so no task ever sees a whole contig. ``steps`` is read twice.
     """
     cut = _stretches(steps, window)
     inside = W.partitionBy("contig", "_stretch").orderBy("pos0").rowsBetween(W.unboundedPreceding, 0)
@@ -133,13 +132,15 @@ def running_total(steps: DataFrame, value: str, window: int = 1 << 20) -> DataFr
     return joined.withColumn("total", F.col("total") + F.col("_carry")).drop("_stretch", "_carry")
 
 
-def next_position(rows: DataFrame, window: int = 1 << 20) -> DataFrame:
-    """Adds ``next0``: position of the following row of the contig, found stretch by stretch."""
-    cut = _stretches(rows, window)
+def next_position(rows: DataFrame, positions: DataFrame, window: int = 1 << 20) -> DataFrame:
+    """Adds ``next0``: position of the following row of the contig, found stretch by stretch.
+
+    ``positions`` has the same contig and pos0 as ``rows`` but is cheap to read.
+    """
     inside = W.partitionBy("contig", "_stretch").orderBy("pos0")
     after = W.partitionBy("contig").orderBy("_stretch")
-    first = (cut.groupBy("contig", "_stretch").agg(F.min("pos0").alias("_first"))
+    first = (_stretches(positions, window).groupBy("contig", "_stretch").agg(F.min("pos0").alias("_first"))
              .select("contig", "_stretch", F.lead("_first").over(after).alias("_next_first")))
-    joined = lookup_join(cut.withColumn("next0", F.lead("pos0").over(inside)), first, ["contig", "_stretch"],
-                         "left", ["pos0"])
+    joined = lookup_join(_stretches(rows, window).withColumn("next0", F.lead("pos0").over(inside)), first,
+                         ["contig", "_stretch"], "left", ["pos0"])
     return joined.withColumn("next0", F.coalesce("next0", "_next_first")).drop("_stretch", "_next_first")

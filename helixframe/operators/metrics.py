@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import aligned_blocks, has_all, has_none
 from helixframe.operators.intervals import (depth_steps, next_position, overlap_bases, overlap_join, running_total)
-from helixframe.runtime import bounded_values, lookup_join
+from helixframe.runtime import bounded_values, stage
 
 
 def mean_insert_size(reads: DataFrame, max_len: int = 10_000, default: int = 150) -> DataFrame:
@@ -109,8 +109,9 @@ def coverage_signal(reads: DataFrame, window: int = 1 << 20) -> DataFrame:
               .select("contig", F.explode(aligned_blocks("cigar", "start0")).alias("b"))
               .select("contig", F.col("b.ref_start").alias("start0"),
                       (F.col("b.ref_start") + F.col("b.len")).alias("end0")))
-    depth = running_total(depth_steps(blocks), "delta", window)
-    return (next_position(depth, window).where("total > 0")
+    steps = stage(depth_steps(blocks), "depth-steps")
+    depth = running_total(steps, "delta", window)
+    return (next_position(depth, steps, window).where("total > 0")
             .select("contig", F.col("pos0").alias("start0"), F.col("next0").alias("end0"),
                     F.col("total").alias("depth")))
 
