@@ -145,7 +145,7 @@ def test_write_vcf_fills_missing_samples(spark, tmp_path):
 
 def test_manifest(spark, tmp_path):
     a, b = put(tmp_path, "first.sam", SAM), put(tmp_path, "second.v2.sam", SAM)
-    columnar = str(tmp_path / "third.adam")
+    columnar = str(tmp_path / "third.parquet")
     sam.reads_to_columnar(sam.scan_sam(spark, a), columnar)
     listing = put(tmp_path, "m.txt", f"{a}  \n\n{b}\nfile://{columnar}\n")
     cohort = manifest.scan_manifest(spark, listing)
