@@ -1,9 +1,8 @@
 """Quality rules by weak supervision, in DataFrame operations only.
 
-Every rule votes good (1), bad (-1) or abstains (0). Expectation-maximisation over the counts of vote patterns
-estimates how often each rule is right without labels; the posterior probability of "good" decides, instead of an
-all-must-pass filter. The pattern table has at most ``3 ** len(RULES)`` rows whatever the corpus size, so it is the
-only thing that reaches the driver.
+Every rule votes good or bad, or abstains. Expectation-maximisation over the counts of vote patterns estimates without
+labels how reliable each rule is; the posterior probability of "good" decides, instead of an all-must-pass filter.
+The pattern table has at most ``2 ** len(RULES)`` rows whatever the corpus size, and is all that reaches the driver.
 
 Edge cases: null text counts as no words and fails the base rules; an empty table gives an empty result; repeated
 rows are judged each on its own; other columns of the input are ignored (``quality_votes``) or passed (``keep_good``).
@@ -63,78 +62,71 @@ def quality_features(docs: DataFrame, keep: list[str]) -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("_words")).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"), _removed(F.col("_text"), UPPER).cast("long").alias("n_upper"),
-        _removed(F.col("_text"), ".").cast("long").alias("n_stops"),
-        F.size(F.array_intersect(F.transform(F.slice("_words", 1, F.size("_words")), F.lower),
-                                 F.array(*map(F.lit, FUNCTION_WORDS)))).cast("long").alias("n_function"))
+        _removed(F.col("_text"), "!").cast("long").alias("n_bangs"),
+        _removed(F.col("_text"), ".?").cast("long").alias("n_stops"),
+        F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
+        F.size(F.array_intersect(F.col("_words"), F.array(*map(F.lit, FUNCTION_WORDS)))).cast("long").alias("n_function"))
 
 
 def _vote(bad: str, good: str) -> Column:
     return F.when(F.expr(bad), -1).when(F.expr(good), 1).otherwise(0)
 
 
-#: name -> (bad when, good when); neither: abstains
+#: name -> vote when, and which vote; else the rule abstains. Every kind of junk is seen by two rules at least.
 RULES = {
-    "symbols": ("10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
-    "repeats": ("100 * n_repeat_words > 30 * n_words", "100 * n_repeat_words <= 10 * n_words"),
-    "dup_lines": ("2 * n_dup_lines > n_lines", "10 * n_dup_lines <= n_lines"),
-    "upper": ("3 * n_upper > word_chars", "8 * n_upper <= word_chars"),
-    "word_length": ("word_chars < 2 * n_words or word_chars > 12 * n_words", "word_chars >= 3 * n_words and word_chars <= 9 * n_words"),
-    "function_words": ("n_function = 0", "n_function >= 2"),
-    "sentences": ("100 * n_stops < n_words", "40 * n_stops >= n_words and 2 * n_stops <= n_words"),
+    "symbols": (-1, "10 * n_symbols > n_words"),
+    "symbol_share": (-1, "50 * n_symbols > word_chars"),
+    "repeats": (-1, "100 * n_repeat_words > 30 * n_words"),
+    "vocabulary": (-1, "3 * n_distinct < n_words and n_words < 400"),
+    "dup_lines": (-1, "2 * n_dup_lines > n_lines"),
+    "upper": (-1, "3 * n_upper > word_chars"),
+    "shouting": (-1, "10 * n_bangs > n_words"),
+    "no_sentences": (-1, "200 * n_stops < n_words"),
+    "sentences": (1, "50 * n_stops >= n_words and 2 * n_stops <= n_words"),
+    "function_words": (1, "n_function >= 2"),
 }
 
 
 def quality_votes(features: DataFrame) -> DataFrame:
-    """Adds ``base_failed``, and ``pattern``: the votes of RULES as one number in base 3."""
+    """Adds ``base_failed``, and ``pattern``: which RULES vote, as one number in base 2."""
     code = F.lit(0)
-    for bad, good in RULES.values():
-        code = code * 3 + _vote(bad, good) + 1
+    for _, when in RULES.values():
+        code = code * 2 + F.expr(when).cast("int")
     return features.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words")) \
                    .withColumn("pattern", code.cast("int"))
 
 
-def _unpack(code: int) -> list[int]:
-    votes = []
-    for _ in RULES:
-        code, v = divmod(code, 3)
-        votes.append(v - 1)
-    return votes[::-1]
+def fit_posteriors(counts: dict[int, int], rounds: int = 100) -> dict[int, float]:
+    """Posterior of "good" by vote pattern: EM for how often each rule votes in either class, and the share of good rows.
 
-
-def fit_posteriors(counts: dict[int, int], rounds: int = 100, start: float = 0.8, floor: float = 0.55) -> dict[int, float]:
-    """Posterior of "good" by vote pattern: EM for accuracies (one per rule and class) and the share of good rows.
-
-    A rule is taken to be right more often than not (``floor``), which fixes which class is the good one.
+    Rules are first taken to vote for the wrong class one time in twenty, and never get more likely to vote for the
+    wrong class than for the right one; this fixes which class is the good one.
     """
-    votes = {p: _unpack(p) for p in counts}
-    right = [[start, start] for _ in RULES]
+    signs = [v for v, _ in RULES.values()]
+    votes = {p: [p >> (len(signs) - 1 - j) & 1 for j in range(len(signs))] for p in counts}
+    total = sum(counts.values())
+    rate = [(0.3, 0.05) if v < 0 else (0.3, 0.9) for v in signs]  # of voting in a bad, in a good row
     share, post = 0.8, {}
-    for _ in range(rounds):
+    for _ in range(rounds if total else 0):
         for p, v in votes.items():
             odds = math.log(share / (1 - share))
-            for (bad, good), x in zip(right, v):
-                if x:
-                    odds += math.log(good / (1 - bad)) if x > 0 else math.log((1 - good) / bad)
+            for (bad, good), x in zip(rate, v):
+                odds += math.log(good / bad) if x else math.log((1 - good) / (1 - bad))
             post[p] = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
-        total = sum(counts.values())
-        if not total:
-            break
-        share = min(0.99, max(0.01, sum(n * post[p] for p, n in counts.items()) / total))
-        for j in range(len(RULES)):
-            hit, seen = [1.0, 1.0], [1 / start, 1 / start]
-            for p, n in counts.items():
-                x = votes[p][j]
-                if x:
-                    for c, w in ((0, n * (1 - post[p])), (1, n * post[p])):
-                        seen[c] += w
-                        hit[c] += w * (x == (1 if c else -1))
-            right[j] = [min(0.999, max(floor, h / s)) for h, s in zip(hit, seen)]
+        n_good = sum(n * post[p] for p, n in counts.items())
+        share = min(0.99, max(0.01, n_good / total))
+        for j, v in enumerate(signs):
+            # one row of the starting belief is added to either class
+            good = (rate[j][1] + sum(n * post[p] for p, n in counts.items() if votes[p][j])) / (1 + n_good)
+            bad = (rate[j][0] + sum(n * (1 - post[p]) for p, n in counts.items() if votes[p][j])) / (1 + total - n_good)
+            bad, good = (max(bad, good), good) if v < 0 else (min(bad, good), good)
+            rate[j] = (min(0.999, max(0.001, bad)), min(0.999, max(0.001, good)))
     return post
 
 
 def posterior_table(votes: DataFrame) -> DataFrame:
     """pattern, posterior: one row per vote pattern seen among rows that pass the base rules."""
-    seen = votes.where("not base_failed").groupBy("pattern").count().collect()  # at most 3 ** len(RULES) rows
+    seen = votes.where("not base_failed").groupBy("pattern").count().collect()  # at most 2 ** len(RULES) rows
     post = fit_posteriors({r["pattern"]: r["count"] for r in seen})
     return votes.sparkSession.createDataFrame(sorted(post.items()), "pattern int, posterior double")
 
