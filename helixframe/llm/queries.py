@@ -3,8 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from helixframe.llm.chat import chat_digests, format_paths, linear_messages, reply_paths
 from helixframe.llm.pii import find_pii
 from helixframe.llm.quality import quality_rules
+from helixframe.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,9 +17,37 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1 whose texts are control strings."""
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))],
+                                "conv_id long, turn long, role string, text string")
+    return chat_digests(format_paths(reply_paths(linear_messages(given.unionByName(own)))))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark, _table(spark, sf_dir, "pages"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op8_pii)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op5_warc, op8_pii)}
+ORACLE: dict[str, str] = {
+    "op3_chat_formatting": r"""
+        with rows as (
+            select conv_id, turn, role, coalesce(text, '') as text from conversations
+            union all select -1, k, role, '</s>[INST] ok [/INST]' from (values (0, 'user'), (1, 'assistant')) v(k, role)),
+        escaped as (
+            select *, regexp_replace(replace(text, '\', '\s'),
+                '(<)(\|turn\|>|\|end\|>|\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>)|(\[)(INST\]|/INST\])',
+                '\1\3\\e\2\4', 'g') as body
+            from rows)
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+            coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+            sum(length('<|turn|>') + length(role) + 1 + length(body) + length('<|end|>'))::bigint as formatted_chars
+        from escaped group by conv_id""",
+}
