@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm.chat import chat_digests, format_paths, linear_messages, reply_paths
 from helixframe.llm.pii import find_pii
+from helixframe.llm.pieces import encode_pieces
 from helixframe.llm.quality import quality_rules
+from helixframe.llm.shards import training_order
 from helixframe.llm.warc import archive_pages
 
 
@@ -25,15 +27,23 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_paths(reply_paths(linear_messages(given.unionByName(own)))))
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(spark, _table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark, _table(spark, sf_dir, "pages"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(_table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op5_warc, op8_pii)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op8_pii)}
 ORACLE: dict[str, str] = {
     "op3_chat_formatting": r"""
         with rows as (
