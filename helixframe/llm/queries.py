@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm.chat import chat_digests, format_paths, linear_messages, reply_paths
 from helixframe.llm.pii import find_pii
+from helixframe.llm.katz import score_texts
 from helixframe.llm.pieces import encode_pieces
 from helixframe.llm.quality import quality_rules
 from helixframe.llm.shards import training_order
@@ -43,7 +44,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op8_pii)}
+def op9_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op8_pii,
+                                  op9_katz_scores)}
 ORACLE: dict[str, str] = {
     "op3_chat_formatting": r"""
         with rows as (
