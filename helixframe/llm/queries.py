@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm.chat import chat_digests, format_paths, linear_messages, reply_paths
 from helixframe.llm.pii import find_pii
+from helixframe.llm.decontaminate import contaminated
+from helixframe.llm.jaccard import similar_documents
 from helixframe.llm.katz import score_texts
 from helixframe.llm.pieces import encode_pieces
 from helixframe.llm.quality import quality_rules
@@ -16,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +46,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
@@ -48,9 +59,34 @@ def op9_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op8_pii,
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op7_decontamination, op8_pii,
                                   op9_katz_scores)}
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x20\x09-\x0D]+')")
+
+
+def _sets(name: str, table: str, key: str) -> str:
+    """Shingle sets of a table, one row per shingle."""
+    return (f"{name} as (select {key}, unnest(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 4, 1) + 1)])) as s "
+            f"from (select {key}, {_WORDS} as w from {table}) where len(w) > 0)")
+
+
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": f"""
+        with recursive {_sets('docs', 'documents', 'doc_id')},
+        sizes as (select doc_id, count(*) as n from docs group by doc_id),
+        shared as (select a.doc_id as a, b.doc_id as b, count(*) as k
+                   from docs a join docs b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+        links as (select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+        reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on l.a = r.b)
+        select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+        from documents d left join sizes using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) using (doc_id)""",
+    "op7_decontamination": f"""
+        with {_sets('docs', 'documents', 'doc_id')}, {_sets('items', 'benchmark', 'item_id')},
+        sizes as (select item_id, count(*) as n_item from items group by item_id),
+        shared as (select doc_id, item_id, count(*) as n_shared from docs join items using (s) group by doc_id, item_id)
+        select doc_id, item_id, n_item, n_shared, n_shared / n_item as containment
+        from shared join sizes using (item_id) where 100 * n_shared >= 80 * n_item""",
     "op3_chat_formatting": r"""
         with rows as (
             select conv_id, turn, role, coalesce(text, '') as text from conversations

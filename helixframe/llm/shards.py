@@ -57,7 +57,7 @@ def feistel(index: np.ndarray, size: int, key: str, rounds: int = 6) -> np.ndarr
 
 
 class Tokenizer(dict):
-    """Maps a word with the space in front of it to its packed ids; holds at most ``bound`` words."""
+    """Maps a word, to be read with a space in front of it, to its packed ids; holds at most ``bound`` words."""
 
     def __init__(self, path: str, bound: int = 500_000):
         import tiktoken
@@ -66,22 +66,43 @@ class Tokenizer(dict):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding("shards", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, dtype="int64")
+        self.sizes[list(ranks.values())] = [len(t) for t in ranks]
         self.bound = bound
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.bound:
-            self.clear()
-        packed = np.array(self.bpe.encode_ordinary(word), dtype="<u2").tobytes()
-        if len(word) <= 64:
-            self[word] = packed
-        return packed
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.bpe.encode_ordinary(text), dtype="<u2")
 
-    def encode(self, text: str) -> bytes:
-        """Packed ids. Words never reach across a single space in front of another character, so texts are cut there."""
-        if "  " in text or not text:
-            return np.array(self.bpe.encode_ordinary(text), dtype="<u2").tobytes()
-        first, *rest = text.split(" ")
-        return b"".join([self[first] if first else b"", *map(self.__getitem__, map(" ".__add__, rest))])
+    def _learn(self, words: set[str]) -> None:
+        """Encodes new words together, and cuts the ids at the words' ends."""
+        if len(self) + len(words) > self.bound:
+            self.clear()
+        new = [w for w in words if w not in self and w]
+        self[""] = self._ids(" ").tobytes()
+        text = " " + " ".join(new)
+        ids = self._ids(text) if new else np.zeros(0, dtype="<u2")
+        ends = np.cumsum([1 + len(w.encode()) for w in new])
+        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+        packed, at = ids.tobytes(), 0
+        for word, cut in zip(new, (2 * cuts).tolist()):
+            self[word] = packed[at:cut]
+            at = cut
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text. Words never reach across a single space in front of another character, so texts are cut there."""
+        split = [None if "  " in t else t.split(" ") for t in texts]
+        out, size, todo = [], 0, set()
+        for k, words in enumerate(split):
+            if words:
+                todo.update(words[1:])
+                size += len(words)
+            if size > 200_000 or k == len(split) - 1:
+                self._learn(todo)
+                for text, own in zip(texts[len(out):k + 1], split[len(out):k + 1]):
+                    out.append(self._ids(text).tobytes() if own is None else
+                               b"".join([self._ids(own[0]).tobytes(), *map(self.__getitem__, own[1:])]))
+                size, todo = 0, set()
+        return out
 
 
 _TOKENIZERS: dict[str, Tokenizer] = {}
@@ -102,7 +123,7 @@ def write_shards(docs: DataFrame, folder: str, length: int = 256, per_shard: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, n = _tokenizer(ranks), 0
         for batch in batches:
-            n += sum(-(-len(tokens.encode(t)) // (2 * length)) for t in batch.column("text").to_pylist())
+            n += sum(-(-len(t) // (2 * length)) for t in tokens.encode_all(batch.column("text").to_pylist()))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([n])], names=["part", "n"])
 
     counts = {r["part"]: r["n"] for r in rows.mapInArrow(count, "part long, n long").collect()}  # one row per input partition
@@ -110,15 +131,13 @@ def write_shards(docs: DataFrame, folder: str, length: int = 256, per_shard: int
     for part in sorted(counts):
         starts[part], total = total, total + counts[part]
     starts = spark.sparkContext.broadcast(starts)
-    stride = HEAD.itemsize + 2 * length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = _tokenizer(ranks), TaskContext.get().partitionId()
         at = first = starts.value[part]
         for batch in batches:
             head, bodies = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                packed = tokens.encode(text)
+            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), tokens.encode_all(batch.column("text").to_pylist())):
                 for k in range(0, len(packed), 2 * length):
                     body = packed[k:k + 2 * length]
                     head.append((NO_ID if doc_id is None else doc_id, k // (2 * length), len(body) // 2))
@@ -156,7 +175,6 @@ def write_shards(docs: DataFrame, folder: str, length: int = 256, per_shard: int
 
     dealt = rows.mapInArrow(cut, "slot long, shard long, record binary")
     ranged = dealt.repartitionById(max(1, -(-total // per_shard)), F.col("shard").cast("int")).sortWithinPartitions("slot")
-    assert stride > HEAD.itemsize
     return stage(ranged.mapInArrow(write, "shard long, path string, first long, records long"), "shard-manifest")
 
 
