@@ -10,6 +10,7 @@ from helixframe.llm.jaccard import similar_documents
 from helixframe.llm.katz import score_texts
 from helixframe.llm.pieces import encode_pieces
 from helixframe.llm.quality import quality_rules
+from helixframe.llm.repeats import without_repeats
 from helixframe.llm.shards import training_order
 from helixframe.llm.warc import archive_pages
 
@@ -59,8 +60,13 @@ def op9_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op7_decontamination, op8_pii,
-                                  op9_katz_scores)}
+                                  op9_katz_scores, op10_repeats)}
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x20\x09-\x0D]+')")
 
