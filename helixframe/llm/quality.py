@@ -132,9 +132,10 @@ def posterior_table(votes: DataFrame) -> DataFrame:
 
 
 def _decide(votes: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
-    return (votes.join(F.broadcast(table), "pattern", "left")
-            .withColumn("posterior", F.when(F.col("base_failed"), 0.0).otherwise(F.col("posterior")))
-            .withColumn("kept", ~F.col("base_failed") & (F.coalesce("posterior", F.lit(0.0)) >= threshold)))
+    # one condition that needs the joined posterior: parts of it would be pushed below and make the counts run anew for each word
+    judged = F.coalesce(F.when(F.col("base_failed"), -1.0).otherwise(F.col("posterior")), F.lit(-1.0))
+    return votes.join(F.broadcast(table), "pattern", "left").withColumn("kept", judged >= threshold) \
+                .withColumn("posterior", F.when(F.col("base_failed"), 0.0).otherwise(F.col("posterior")))
 
 
 def quality_rules(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
