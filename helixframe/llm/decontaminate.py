@@ -71,10 +71,11 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = lookup_join(hashed, sketch, ["h"], "inner", ["key"], BROADCAST).where(F.col("size") >= F.col("need"))
     found = stage(hits.groupBy("key", "item").agg(F.countDistinct("h").alias("held"), F.first("enough").alias("enough"), F.first("need").alias("need"))
                   .where(F.col("held") >= F.col("enough")).select("key", "item", "need"), "candidates")
-    whole = named.select("item", "item_id", _text_shingles(_words(F.col("text"))).alias("item_shingles"))
+    # words are a column of their own: written into the shingles' lambda they would be split anew for each shingle
+    whole = named.select("item", "item_id", _words(F.col("text")).alias("w")).select("item", "item_id", _text_shingles(F.col("w")).alias("item_shingles"))
     wanted = found.select("key").distinct()
     held = keyed.join(F.broadcast(wanted), "key") if fits(wanted, BROADCAST) else keyed.join(wanted, "key")
-    held = held.select("key", "doc_id", _text_shingles(_words(F.col("text"))).alias("doc_shingles"))
+    held = held.select("key", "doc_id", _words(F.col("text")).alias("w")).select("key", "doc_id", _text_shingles(F.col("w")).alias("doc_shingles"))
     pairs = lookup_join(found, whole, ["item"], "inner", ["key"], BROADCAST)
     shared = F.size(F.array_intersect("doc_shingles", "item_shingles")).cast("long")
     return held.join(pairs, "key").select(
