@@ -1,14 +1,16 @@
 """Token shards in training order.
 
 Documents are tokenised and cut into sequences of a fixed number of tokens. A keyed Feistel network, walked along its cycles
-until it lands inside the range, permutes the numbers of all sequences: each gets a global slot without a sort and without a
-table of the permutation. Slots are dealt to shards by range, and every shard is a file of records of one fixed size, so a
-reader finds any slot by arithmetic and can go on from it.
+until it lands inside the range, permutes the numbers of all sequences: each gets a place in the order without a table of the
+permutation. Places are dealt to shards by range, and every shard is a file of records of one fixed size. The global slot of
+a record is the number of records in the shards before, which the manifest has, and its own in the shard: a reader finds any
+slot by arithmetic and can go on from it.
 
-Sequences are numbered as ``zipWithIndex`` does it: a first pass counts them for each input partition, a second one, over the
-same partitions, adds what comes before; it stops with an error if a partition turns out different. Tokens are not stored
-in between, only shuffled once to their shards. Shards are written under names of their own for each attempt; the manifest
-of finished tasks says which ones count.
+Texts are tokenised once. A token has a byte at least, so the bytes of an input partition bound its sequences; numbers are
+given out by these bounds, and numbers that no sequence takes leave no gap in the slots. The bounds are summed for each input
+partition beforehand; a partition that outgrows its bound stops with an error. Tokens are not stored in between, only
+shuffled once to their shards. Shards are written under names of their own for each attempt; the manifest of finished tasks
+says which ones count.
 
 Edge cases: null or empty text gives no sequence; a null doc_id is kept as null; repeated rows are sequences of their own;
 an empty table gives no shard; other columns are ignored.
@@ -25,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.runtime import scratch_path, stage
@@ -120,21 +122,17 @@ def write_shards(docs: DataFrame, folder: str, length: int = 256, per_shard: int
     spark = docs.sparkSession
     rows = docs.where("text is not null and text <> ''").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, n = _tokenizer(ranks), 0
-        for batch in batches:
-            n += sum(-(-len(t) // (2 * length)) for t in tokens.encode_all(batch.column("text").to_pylist()))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([n])], names=["part", "n"])
-
-    counts = {r["part"]: r["n"] for r in rows.mapInArrow(count, "part long, n long").collect()}  # one row per input partition
+    # reads the columns that ``cut`` reads, so that both see the same input partitions
+    bounds = rows.select(F.spark_partition_id().alias("part"), F.ceil(F.octet_length("text") / length).alias("most"), "doc_id")
+    bounds = {r["part"]: r["most"] for r in bounds.groupBy("part").agg(F.sum("most").alias("most"), F.count("doc_id")).collect()}  # one row per partition
     total, starts = 0, {}
-    for part in sorted(counts):
-        starts[part], total = total, total + counts[part]
+    for part in sorted(bounds):
+        starts[part], total = total, total + bounds[part]
     starts = spark.sparkContext.broadcast(starts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = _tokenizer(ranks), TaskContext.get().partitionId()
-        at = first = starts.value[part]
+        at = first = starts.value.get(part, 0)
         for batch in batches:
             head, bodies = [], []
             for doc_id, packed in zip(batch.column("doc_id").to_pylist(), tokens.encode_all(batch.column("text").to_pylist())):
@@ -142,14 +140,14 @@ def write_shards(docs: DataFrame, folder: str, length: int = 256, per_shard: int
                     body = packed[k:k + 2 * length]
                     head.append((NO_ID if doc_id is None else doc_id, k // (2 * length), len(body) // 2))
                     bodies.append(body.ljust(2 * length, b"\0"))
+            if at + len(head) - first > bounds.get(part, 0):
+                raise RuntimeError(f"input partition {part} has more than its {bounds.get(part, 0)} sequences")
             slots = feistel(np.arange(at, at + len(head)), total, key)
             at += len(head)
             heads = np.array(head, dtype=HEAD).tobytes()
             records = [heads[k * HEAD.itemsize:(k + 1) * HEAD.itemsize] + body for k, body in enumerate(bodies)]
             yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(slots // per_shard), pa.array(records, pa.binary())],
                                              names=["slot", "shard", "record"])
-        if at - first != counts[part]:
-            raise RuntimeError(f"input partition {part} has {at - first} sequences and had {counts[part]}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
@@ -160,22 +158,32 @@ def write_shards(docs: DataFrame, folder: str, length: int = 256, per_shard: int
                 if own != shard:
                     if out is not None:
                         out.close()
-                    name, shard, last = f"shard-{own:08d}-{TaskContext.get().taskAttemptId()}.bin", own, own * per_shard - 1
+                    name, shard = f"shard-{own:08d}-{TaskContext.get().taskAttemptId()}.bin", own
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                    done.append([own, f"{folder}/{name}", own * per_shard, 0])
-                if slot != last + 1:
-                    raise RuntimeError(f"slot {slot} follows {last}")
+                    done.append([own, f"{folder}/{name}", 0])
+                if slot <= last:
+                    raise RuntimeError(f"place {slot} follows {last}")
                 out.write(record)
-                done[-1][3] += 1
+                done[-1][2] += 1
                 last = slot
         if out is not None:
             out.close()
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(done, columns=["shard", "path", "first", "records"]).astype(
-            {"shard": "int64", "first": "int64", "records": "int64"}), preserve_index=False)
+        yield pa.RecordBatch.from_pandas(pd.DataFrame(done, columns=["shard", "path", "records"]).astype(
+            {"shard": "int64", "records": "int64"}), preserve_index=False)
 
     dealt = rows.mapInArrow(cut, "slot long, shard long, record binary")
     ranged = dealt.repartitionById(max(1, -(-total // per_shard)), F.col("shard").cast("int")).sortWithinPartitions("slot")
-    return stage(ranged.mapInArrow(write, "shard long, path string, first long, records long"), "shard-manifest")
+    written = stage(ranged.mapInArrow(write, "shard long, path string, records long"), "shards-written")
+    return stage(_numbered(written), "shard-manifest")
+
+
+def _numbered(written: DataFrame, block: int = 4096) -> DataFrame:
+    """Adds ``first``, the records of all shards before: summed by block of shards, then inside each block."""
+    blocks = written.withColumn("block", F.floor(F.col("shard") / block))
+    before = lambda w: F.coalesce(F.sum("records").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = blocks.groupBy("block").agg(F.sum("records").alias("records")).select("block", before(Window.orderBy("block")).alias("ahead"))
+    return blocks.join(ahead, "block").select(
+        "shard", "path", (F.col("ahead") + before(Window.partitionBy("block").orderBy("shard"))).alias("first"), "records")
 
 
 def read_shards(manifest: DataFrame, length: int = 256, start: int = 0) -> DataFrame:
