@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 #: Copies made of the smaller side of a salted join, i.e. tasks a single hot key is spread over.
 SALTS = 16
+#: Setting under which the shuffle files of a query are removed when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -41,11 +43,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used where two branches must see the same rows (partition numbers, sampled ranges) or where an
-    expensive intermediate is read more than once. Lost executors do not lose it.
+    expensive intermediate is read more than once. Lost executors do not lose it. Once the table is written,
+    the shuffle files behind it are no longer needed and go, so that a chain of stages does not pile them up.
     """
     spark = session_of(df)
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
