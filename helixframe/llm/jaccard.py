@@ -39,6 +39,8 @@ FREQUENT = 200_000
 LARGEST_SMALL = 64
 #: Rows up to which keys are broadcast.
 BROADCAST = 200_000
+#: Bytes up to which sets are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def need(n):
@@ -90,7 +92,7 @@ def boundary(costs: list[tuple[int, int, int]]) -> int:
 
 
 def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
-    """doc_id, key, n, set (128 bits), lists (shingles of inverted lists), subsets (keys of subsets of two)."""
+    """doc_id, key, n, set (128 bits), lists (shingles of inverted lists), subsets (keys of subsets of two), s (all shingles)."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         known, rank = frequent.value
@@ -100,7 +102,7 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                 s = words.shingles(text)
                 n = len(s)
                 if not n:
-                    rows.append((doc_id, key, 0, None, None, None))
+                    rows.append((doc_id, key, 0, None, None, None, None))
                     continue
                 at = np.minimum(np.searchsorted(known, s), max(0, len(known) - 1))
                 order = np.where(known[at] == s, rank[at], 0) if len(known) else np.zeros(n, dtype="int64")
@@ -111,11 +113,11 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                     a, b = np.triu_indices(len(first), 1)
                     subsets = np.unique(mixed(np.minimum(first[a], first[b]) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(first[a], first[b]))).view("int64")
                 whole = mixed(s + np.uint64(1)).sum(dtype="uint64"), mixed(s ^ np.uint64(0x5BD1E995)).sum(dtype="uint64")
-                rows.append((doc_id, key, n, np.array(whole).tobytes(), first[:max(1, k - 1)].view("int64"), subsets))
-            yield pd.DataFrame(rows, columns=["doc_id", "key", "n", "set", "lists", "subsets"])
+                rows.append((doc_id, key, n, np.array(whole).tobytes(), first[:max(1, k - 1)].view("int64"), subsets, s.view("int64")))
+            yield pd.DataFrame(rows, columns=["doc_id", "key", "n", "set", "lists", "subsets", "s"])
 
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
-    signed = rows.mapInPandas(sign, "doc_id string, key long, n int, set binary, lists array<long>, subsets array<long>")
+    signed = rows.mapInPandas(sign, "doc_id string, key long, n int, set binary, lists array<long>, subsets array<long>, s array<long>")
     return signed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("uid", F.monotonically_increasing_id())
 
 
@@ -139,28 +141,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v of the pairs whose sets are similar enough."""
-    a, b = sets.select(F.col("uid").alias("u"), F.col("s").alias("su")), sets.select(F.col("uid").alias("v"), F.col("s").alias("sv"))
+    """u, v of the pairs whose sets are similar enough. The sets named as u are few, and broadcast where their bytes are."""
+    def side(name: str, of: str) -> DataFrame:
+        ids = pairs.select(F.col(name).alias("uid")).distinct()
+        ids = F.broadcast(ids) if fits(ids, BROADCAST) else ids
+        return sets.join(ids, "uid", "left_semi").select(F.col("uid").alias(name), F.col("s").alias(of))
+
+    a, b = side("u", "su"), side("v", "sv")
+    if (a.agg(F.sum(F.size("su"))).first()[0] or 0) * 8 <= BROADCAST_BYTES:
+        a = F.broadcast(a)
     both = F.size(F.array_intersect("su", "sv"))
-    return pairs.join(a, "u").join(b, "v").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """uid, s: shingles of the texts whose (uid, key) are wanted."""
-    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
-        for batch in batches:
-            yield pd.DataFrame({"uid": batch["uid"], "s": [words.shingles(t).view("int64") for t in batch["text"]]})
-
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text")
-    picked = keyed.join(F.broadcast(wanted), "key") if fits(wanted, BROADCAST) else keyed.join(wanted, "key")
-    return picked.select("uid", "text").mapInPandas(shingled, "uid long, s array<long>").dropDuplicates(["uid"])
+    return pairs.join(b, "v").join(a, "u").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
 
 _LONG_ENOUGH = f"100 * least(n, m) >= {PERCENT} * greatest(n, m)"
 
 
-def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int, hubs: int = 3) -> DataFrame:
+def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int, hubs: int = 1) -> DataFrame:
     """u, v: members of a list with hubs of it that they are not in a component with."""
     rows = members.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     orders = [F.struct(F.xxhash64("uid", F.lit(round_ * hubs + j)).alias("o"), "uid", "n", "label", "small") for j in range(hubs)]
@@ -170,7 +167,7 @@ def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int, hubs: int = 3
                 .where("labels > 1").select("list", F.array_distinct(F.array(*[F.struct(
                     f"h{j}.uid", f"h{j}.n", f"h{j}.label", f"h{j}.small") for j in range(hubs)])).alias("hubs"))
     return (rows.join(named, "list").select("uid", "n", "label", "small", "light", F.explode("hubs").alias("h"))
-            .select(F.least("uid", "h.uid").alias("u"), F.greatest("uid", "h.uid").alias("v"), "n", F.col("h.n").alias("m"), "light",
+            .select(F.col("h.uid").alias("u"), F.col("uid").alias("v"), "n", F.col("h.n").alias("m"), "light",
                     (F.col("small") & F.col("h.small")).alias("both_small"), (F.col("label") == F.col("h.label")).alias("same"))
             .where("u <> v and not same and (light or not both_small)").where(_LONG_ENOUGH).select("u", "v").distinct())
 
@@ -191,7 +188,7 @@ def _all_pairs_left(members: DataFrame, labels: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
 
 
-def similar_documents(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def similar_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, with key (hash of doc_id and text) and uid (row)."""
     docs = docs.select("doc_id", "text")
     survey = stage(_surveyed(docs), "shingle-survey")
@@ -204,22 +201,21 @@ def similar_documents(docs: DataFrame, rounds: int = 2) -> DataFrame:
     signed = stage(_signatures(docs, frequent, small), "signatures")
     classes = stage(signed.where("n > 0").groupBy("set", "n").agg(F.min("uid").alias("class")), "classes")
     firsts = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi")
-    entries = (firsts.select("uid", "key", "n", F.lit(False).alias("light"), F.explode("lists").alias("list"))
-               .unionByName(firsts.where("subsets is not null").select("uid", "key", "n", F.lit(True).alias("light"), F.explode("subsets").alias("list"))))
+    entries = (firsts.select("uid", "n", F.lit(False).alias("light"), F.explode("lists").alias("list"))
+               .unionByName(firsts.where("subsets is not null").select("uid", "n", F.lit(True).alias("light"), F.explode("subsets").alias("list"))))
     # a list with one member, or with small members only that meet by their subsets, compares nothing
     shared = entries.groupBy("list", "light").agg(F.count("*").alias("size"), F.max("n").alias("longest")).where(
         f"size > 1 and (light or longest > {small} or longest < 2)").select("list", "light")
     members = stage(entries.join(shared, ["list", "light"], "left_semi"), "list-members")
-    on = members.groupBy("uid", "key").agg(F.count("*").alias("on"))
-    wanted = stage(on, "listed")
-    sets = stage(_sets(docs, wanted.select("uid", "key")), "sets")
+    wanted = stage(members.groupBy("uid").agg(F.count("*").alias("on")), "listed")
+    sets = signed.where("n > 0").select("uid", "s")
     members = members.join(wanted.select("uid", "on"), "uid").select(
         F.xxhash64("list", "light").alias("list"), "light", "uid", "n", "on", F.expr(f"n between 2 and {small}").alias("small"))
     members = stage(members, "list-members")
     links, labels = None, docs.sparkSession.createDataFrame([], "uid long, label long")
     for step in range(rounds + 1):
         pairs = _hub_pairs(members, labels, step) if step < rounds else _all_pairs_left(members, labels)
-        found = _verified(pairs, sets)
+        found = _verified(stage(pairs, "pairs"), sets)
         links = stage(found if links is None else links.unionByName(found), "links")
         labels = components(links).withColumnRenamed("node", "uid")
     of_class = classes.join(labels.select(F.col("uid").alias("class"), "label"), "class", "left").select(
