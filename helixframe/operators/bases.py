@@ -25,7 +25,7 @@ def mask_reference(ref_blocks: DataFrame, sites: DataFrame, width: int = BLOCK_W
 
     Masking the reference instead of the reads keeps the sites out of the per-base rows altogether.
     """
-    places = (sites.select("contig", F.explode(F.sequence("start0", F.col("end0") - 1)).alias("pos0"))
+    places = (sites.where("end0 > start0").select("contig", F.explode(F.sequence("start0", F.col("end0") - 1)).alias("pos0"))
               .select("contig", F.expr(f"pos0 div {width}").alias("block"), (F.col("pos0") % width).cast("int").alias("at"))
               .groupBy("contig", "block").agg(F.collect_set("at").alias("_at")))
     masked = F.array_join(F.transform(F.split("seq", ""), lambda c, i: F.when(

@@ -21,7 +21,7 @@ def cnv_filter_matrix(coverage: DataFrame, *, min_target_length: int = 10, max_t
                       min_target_depth: float = 10, max_target_depth: float = 500, min_sample_depth: float = 25,
                       max_sample_depth: float = 200, max_sample_sd: float = 150) -> DataFrame:
     """Drop targets by length and mean depth, then samples by mean and spread; centre targets in ``value``."""
-    by_target = W.partitionBy("target")
+    by_target = W.partitionBy(*_REGION)  # names may be absent, or shared by the exons of a gene
     length = F.col("end0") - F.col("start0")
     targets = (coverage.where(length.between(min_target_length, max_target_length))
                .withColumn("_mean", F.avg("mean_depth").over(by_target))
@@ -68,7 +68,7 @@ def cnv_pca_normalise(matrix: DataFrame, factor: float = 0.7, value: str = "valu
 
 def cnv_zscore(matrix: DataFrame, max_sd: float = 30, value: str = "value") -> DataFrame:
     """Drop targets that vary too much between samples, then standardise each sample into ``z``."""
-    steady = (matrix.withColumn("_sd", F.coalesce(F.stddev_samp(value).over(W.partitionBy("target")), F.lit(0.0)))
+    steady = (matrix.withColumn("_sd", F.coalesce(F.stddev_samp(value).over(W.partitionBy(*_REGION)), F.lit(0.0)))
               .where(F.col("_sd") <= max_sd).drop("_sd"))
     stats = steady.groupBy("sample").agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
     return (lookup_join(steady, stats, ["sample"], "left", ["target"])

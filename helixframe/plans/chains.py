@@ -1,4 +1,4 @@
-"""The five workflows. Each is one lazy plan, written out only where two branches read the same rows."""
+"""The five chains. Plans are written out where two branches read the same rows; some operators count rows to choose a plan."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame

@@ -18,7 +18,8 @@ def stringency(df: DataFrame, mode: str, malformed: Column, record: str, label:
         # The error is raised while the record column itself is computed, so no projection can skip it.
         checked = F.when(bad, F.raise_error(F.concat(F.lit(f"malformed {label}: "), F.substring(F.col(record).cast("string"), 1, 200)))
                          .cast("string")).otherwise(F.col(record))
-        return df.withColumn(record, checked).where(F.col(record).isNotNull())
+        # The condition reads the checked column, so that counting rows computes it too; it holds for every row that is left.
+        return df.withColumn(record, checked).where(F.coalesce(F.length(F.col(record).cast("string")), F.lit(0)) >= 0)
     if mode == "LENIENT":
         seen = Observation()
         REPORTS[label] = seen
