@@ -244,6 +244,8 @@ def test_realign_moves_reads_onto_the_deletion(spark):
         r = moved[f"m{i}"]
         assert (r.start0, r.cigar, r.end0) == (113 + i, f"{37 - i}M4D{3 + i}M", 157 + i)
     assert (moved["far"].start0, moved["far"].cigar, moved["seen"].cigar) == (10, "40M", "20M4D20M")
+    twice = realign.realign_indels(df.unionByName(df), targets, ref_df(spark, genome, 50), lod=1.0, width=50)
+    assert twice.count() == 2 * len(rows)
     still = realign.realign_indels(df, targets, ref_df(spark, genome, 50), lod=1.0, width=50, max_reads=3)
     assert as_set(still, "read_name", "cigar") == {(r["read_name"], r["cigar"]) for r in rows}
 

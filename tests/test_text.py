@@ -86,6 +86,14 @@ def test_fastq_pair_with_at_as_quality(spark, tmp_path):
     assert [r.name for r in fastq.scan_fastq(spark, bad, mode="SILENT").collect()] == ["b"]
 
 
+def test_fastq_pairs_that_do_not_match(spark, tmp_path):
+    r1 = put(tmp_path, "r1.fq", "@a/1\nAC\n+\nII\n@b/1\nGG\n+\nII\n@c/1\nTT\n+\nII\n")
+    r2 = put(tmp_path, "r2.fq", "@a/2\nTT\n+\nII\n@x/2\nCC\n+\nII\n")
+    assert [r.name for r in fastq.scan_fastq(spark, r1, r2, mode="SILENT").collect()] == ["a"]
+    with pytest.raises(Exception, match="malformed FASTQ pair"):
+        fastq.scan_fastq(spark, r1, r2).count()
+
+
 def test_fasta_and_its_index(spark, tmp_path):
     path = put(tmp_path, "ref.fa", ">one first\nACGTA\nCCGTT\nGG\n>two\nTTTTT\nA\n")
     blocks = {(r.contig, r.block): r.seq for r in fasta.scan_fasta(spark, path, 4).collect()}
