@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.runtime import scratch_path, stage
+from helixframe.runtime import salted_join, scratch_path, stage
 
 #: Columns of the header lines of the two versions.
 ARC_COLUMNS = {
@@ -163,7 +163,8 @@ def write_arc(pages: DataFrame, folder: str, date: str = "20260101000000", bound
 # ---- WARC
 
 def warc_date(arc_date: str) -> str:
-    d = (arc_date + "0" * 14)[:14]
+    """Parts that a short ARC date leaves out are the first of their kind."""
+    d = arc_date + "00000101000000"[len(arc_date):]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
@@ -201,8 +202,10 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with _open(path, "r") as stream:
                 for offset, head, body in read_arc(stream, path):
                     fields, _, payload = _http(body)
-                    rows.append((path, offset, fields.get("x-page-id"), digest_of(payload), len(payload), head["URL"], warc_date(head["Archive-date"])))
-            yield pd.DataFrame(rows, columns=["path", "offset", "page_id", "digest", "bytes", "url", "date"])
+                    date = warc_date(head["Archive-date"])
+                    rows.append((path, offset, fields.get("x-page-id"), digest_of(payload), len(payload), head["URL"], date,
+                                 record_id(path, offset, head["URL"], date)))
+            yield pd.DataFrame(rows, columns=["path", "offset", "page_id", "digest", "bytes", "url", "date", "id"])
 
 
 def _many(manifest: DataFrame) -> DataFrame:
@@ -217,14 +220,16 @@ def convert_arc(manifest: DataFrame, folder: str, min_bytes: int = 0, bound: int
     others refer to it; the choice is one aggregate by digest, which is combined before it is shuffled.
     """
     records = stage(_many(manifest).mapInPandas(_digests, "path string, offset long, page_id string, digest string, bytes long, "
-                                                "url string, date string")
+                                                "url string, date string, id string")
                     .withColumn("page_id", F.col("page_id").cast("long")), "arc-records")
     shared = F.when(F.col("bytes") >= min_bytes, F.col("digest"))
-    last = records.where(shared.isNotNull()).groupBy("digest").agg(F.max(F.struct("page_id", "path", "offset", "url", "date")).alias("r"))
-    chosen = records.select("path", "offset", "digest", shared.alias("shared")).join(
-        last.withColumnRenamed("digest", "shared"), "shared", "left")
-    own = (F.col("r.path") == F.col("path")) & (F.col("r.offset") == F.col("offset"))
-    plan = chosen.select("path", F.struct("offset", F.when(~own, F.col("r")).alias("to")).alias("d")) \
+    last = (records.where(shared.isNotNull()).groupBy("digest").agg(F.max(F.struct("page_id", "path", "offset", "url", "date", "id")).alias("r"),
+                                                                    F.count("*").alias("records"))
+            .where("records > 1").select(F.col("digest").alias("shared"), "r"))
+    # one digest may be that of a third of all records (empty pages), so its rows are spread
+    chosen = salted_join(records.select("path", "offset", "id", shared.alias("shared")), last, ["shared"], "left", ["path", "offset"])
+    to = F.when(F.col("r.id") != F.col("id"), F.struct("r.id", "r.url", "r.date"))
+    plan = chosen.select("path", F.struct("offset", "id", to.alias("to")).alias("d")) \
                  .groupBy("path").agg(F.collect_list("d").alias("todo"))  # as many as one archive file holds
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -233,13 +238,13 @@ def convert_arc(manifest: DataFrame, folder: str, min_bytes: int = 0, bound: int
         roll = _Roll(folder, "warc.gz", info, bound)
         for batch in batches:
             for path, todo in zip(batch["path"], batch["todo"]):
-                refers = {d["offset"]: d["to"] for d in todo}
+                planned = {d["offset"]: (d["id"], d["to"]) for d in todo}
                 with _open(path, "r") as stream:
                     for offset, head, body in read_arc(stream, path):
                         _, http, payload = _http(body)
-                        date, to = warc_date(head["Archive-date"]), refers[offset]
-                        fields = [("WARC-Record-ID", f"<{record_id(path, offset, head['URL'], date)}>"), ("WARC-Target-URI", head["URL"]),
-                                  ("WARC-Date", date), ("WARC-IP-Address", head["IP-address"]),
+                        own, to = planned[offset]
+                        fields = [("WARC-Record-ID", f"<{own}>"), ("WARC-Target-URI", head["URL"]),
+                                  ("WARC-Date", warc_date(head["Archive-date"])), ("WARC-IP-Address", head["IP-address"]),
                                   ("WARC-Payload-Digest", f"sha1:{digest_of(payload)}")]
                         kind = "response" if http else "resource"
                         fields.append(("Content-Type", "application/http; msgtype=response" if http else head["Content-type"]))
@@ -247,7 +252,7 @@ def convert_arc(manifest: DataFrame, folder: str, min_bytes: int = 0, bound: int
                         if to is not None:
                             kind, block = "revisit", http
                             fields += [("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"),
-                                       ("WARC-Refers-To", f"<{record_id(to['path'], to['offset'], to['url'], to['date'])}>"),
+                                       ("WARC-Refers-To", f"<{to['id']}>"),
                                        ("WARC-Refers-To-Target-URI", to["url"]), ("WARC-Refers-To-Date", to["date"])]
                         roll.add(lambda name, at: warc_record(kind, fields, block))
         roll.close()
@@ -276,13 +281,21 @@ def _page_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scan_warc(manifest: DataFrame) -> DataFrame:
-    """One row per record of the WARC files; refers_to is the page_id of the record a revisit refers to."""
+    """One row per record of the WARC files; refers_to is the page_id of the record a revisit refers to.
+
+    A reference to a record that none of the files holds is an error.
+    """
     rows = stage(_many(manifest).mapInPandas(_page_records, "page_id string, payload_bytes long, payload_digest string, record_type string, "
                                              "record_id string, refers string, url string, date string")
                  .withColumn("page_id", F.col("page_id").cast("long")), "warc-records")
-    responses = rows.where("record_type <> 'revisit'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"))
-    return rows.join(responses, "refers", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                                                         "record_id", "url", "date")
+    out = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "url", "date"]
+    answers, revisits = rows.where("refers is null"), rows.where("refers is not null")
+    responses = rows.where("record_type <> 'revisit'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"),
+                                                              F.lit(True).alias("held"))
+    named = revisits.select("refers").distinct().join(responses, "refers", "left").withColumn("refers_to", F.when(F.col("held"), F.col("refers_to")).otherwise(
+        F.raise_error(F.concat(F.lit("no record "), "refers", F.lit(" in these archives"))).cast("long"))).drop("held")
+    resolved = salted_join(revisits, named, ["refers"], "left", ["record_id"])
+    return answers.withColumn("refers_to", F.lit(None).cast("long")).select(out).unionByName(resolved.select(out))
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
