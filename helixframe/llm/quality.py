@@ -125,9 +125,13 @@ def fit_posteriors(counts: dict[int, int], rounds: int = 100) -> dict[int, float
 
 
 def posterior_table(votes: DataFrame) -> DataFrame:
-    """pattern, posterior: one row per vote pattern seen among rows that pass the base rules."""
-    seen = votes.where("not base_failed").groupBy("pattern").count().collect()  # at most 2 ** len(RULES) rows
-    post = fit_posteriors({r["pattern"]: r["count"] for r in seen})
+    """pattern, posterior: one row per vote pattern seen among rows that pass the base rules.
+
+    Failed rows are dropped from the counts, not from ``votes``: a filter would be pushed below the projection that splits
+    the texts, and run the splitting anew for every word.
+    """
+    seen = votes.groupBy("pattern", "base_failed").count().collect()  # at most 2 ** (1 + len(RULES)) rows
+    post = fit_posteriors({r["pattern"]: r["count"] for r in seen if not r["base_failed"]})
     return votes.sparkSession.createDataFrame(sorted(post.items()), "pattern int, posterior double")
 
 
@@ -147,8 +151,6 @@ def quality_rules(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that the rules keep, with the columns they came with."""
-    votes = quality_votes(quality_features(docs.select("text"), []))
-    table = posterior_table(votes)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text"))
-    judged = quality_votes(quality_features(row, ["_row"]))
-    return _decide(judged, table, threshold).where("kept").select("_row.*")
+    votes = stage(quality_votes(quality_features(row, ["_row"])).select("_row", "pattern", "base_failed"), "quality-votes")
+    return _decide(votes, posterior_table(votes), threshold).where("kept").select("_row.*")
