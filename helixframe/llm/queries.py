@@ -3,11 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from helixframe.llm.centroids import cluster_vectors
 from helixframe.llm.chat import chat_digests, format_paths, linear_messages, reply_paths
 from helixframe.llm.pii import find_pii
 from helixframe.llm.decontaminate import contaminated
+from helixframe.llm.exact import exact_duplicates
 from helixframe.llm.jaccard import similar_documents
 from helixframe.llm.katz import score_texts
+from helixframe.llm.negatives import mine_negatives
 from helixframe.llm.pieces import encode_pieces
 from helixframe.llm.quality import quality_rules
 from helixframe.llm.repeats import without_repeats
@@ -65,8 +68,22 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(_table(spark, sf_dir, "documents"), every_hash=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mine_negatives(_table(spark, sf_dir, "embeddings"))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_quality_rules, op3_chat_formatting, op4_token_shards, op5_warc, op6_sentencepiece, op7_decontamination, op8_pii,
-                                  op9_katz_scores, op10_repeats)}
+                                  op9_katz_scores, op10_repeats, op11_centroids, op12_exact_dedup, op13_hard_negatives)}
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x20\x09-\x0D]+')")
 
@@ -77,7 +94,54 @@ def _sets(name: str, table: str, key: str) -> str:
             f"from (select {key}, {_WORDS} as w from {table}) where len(w) > 0)")
 
 
+def _lloyd(rounds: int, k: int, dims: int) -> str:
+    """Clusters of integer vectors, one row per component; centroids of each round are a table of their own."""
+    steps = [f"""v as (
+            select vec_id, generate_subscripts(embedding, 1) as j, cast(floor(64 * cast(unnest(embedding) as double)) as bigint) as x
+            from embeddings where len(embedding) = {dims}),
+        starts as (select vec_id, row_number() over (order by sha256('1:' || cast(vec_id as varchar))) - 1 as c from (select distinct vec_id from v)),
+        c0 as (select c, j, x from starts join v using (vec_id) where c < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} as (select vec_id, c, sum((v.x - m.x) * (v.x - m.x)) as d from v join c{r} m using (j) group by vec_id, c),
+        a{r} as (select vec_id, min(c) as cluster, min(d.d) as distance
+                 from d{r} d join (select vec_id, min(d) as least from d{r} group by vec_id) using (vec_id) where d.d = least group by vec_id)""")
+        if r < rounds:
+            steps.append(f"""n{r} as (select cluster as c, j, cast(floor(sum(x) / cast(count(*) as double)) as bigint) as x
+                 from v join a{r} using (vec_id) group by cluster, j),
+        c{r + 1} as (select o.c, o.j, coalesce(n.x, o.x) as x from c{r} o left join n{r} n on n.c = o.c and n.j = o.j)""")
+    return ",\n        ".join(steps)
+
+
 ORACLE: dict[str, str] = {
+    "op11_centroids": f"""
+        with {_lloyd(3, 16, 64)},
+        shas as (select c as cluster, sha256(string_agg(cast(x as varchar), ',' order by j)) as centroid_sha256 from c3 group by c),
+        sums as (select cluster, sum(distance) as s from a3 group by cluster)
+        select vec_id, cast(cluster as integer) as cluster, cast(distance as bigint) as distance, cast(s as bigint) as cluster_inertia,
+            cast((select sum(s) from sums) as bigint) as inertia, centroid_sha256
+        from a3 join sums using (cluster) join shas using (cluster)""",
+    "op12_exact_dedup": r"""
+        with t as (select doc_id, coalesce(text, '') as whole, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as bare from documents),
+        g as (select doc_id, bare, first_value(doc_id) over (partition by bare order by length(whole) desc, doc_id) as keep_id,
+                count(*) over (partition by bare) as group_size from t)
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from g""",
+    "op13_hard_negatives": """
+        with e as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, generate_subscripts(embedding, 1) as j,
+                cast(floor(256 * cast(unnest(embedding) as double)) as bigint) as x
+            from embeddings where label is not null),
+        scores as (
+            select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(sum(a.x * b.x) as bigint) as score
+            from e a join e b on a.j = b.j and a.vec_id <> b.vec_id where a.vec_id % 100 = 0 group by a.vec_id, b.vec_id, a.label = b.label),
+        positives as (
+            select anchor_id, other_id as positive_id, score as positive_score from (
+                select *, row_number() over (partition by anchor_id order by score desc, other_id) as r from scores where same) where r <= 5),
+        negatives as (
+            select p.*, n.other_id as negative_id, n.score as negative_score,
+                row_number() over (partition by p.anchor_id, positive_id order by n.score desc, n.other_id) as rank
+            from positives p join scores n on n.anchor_id = p.anchor_id and not n.same
+                and 30 * positive_score <= 100 * n.score and 100 * n.score <= 90 * positive_score)
+        select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from negatives where rank <= 10""",
     "op1_jaccard_join": f"""
         with recursive {_sets('docs', 'documents', 'doc_id')},
         sizes as (select doc_id, count(*) as n from docs group by doc_id),
