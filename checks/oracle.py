@@ -267,12 +267,73 @@ SELECT read_name, CAST(CASE WHEN flag & 2308 = 0 AND EXISTS (SELECT 1 FROM pair_
 
 # ---- realignment targets -------------------------------------------------------------------------------------
 
-_add("realignment_targets", f"""WITH {_ops("reads")},
+_ISLES = """
 spans AS (SELECT contig, greatest(ref_at - 10, 0) AS a, ref_at + CASE WHEN op = 'D' THEN len ELSE 1 END + 10 AS b FROM ops WHERE op IN ('I', 'D')
           UNION SELECT contig, greatest(start0 - 10, 0), end0 + 10 FROM known_indels),
 marks AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY contig ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM spans),
-isles AS (SELECT *, sum(fresh) OVER (PARTITION BY contig ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM marks)
-SELECT contig, min(a) AS start0, max(b) AS end0 FROM isles GROUP BY contig, g""", "reads", "known_indels")
+isles AS (SELECT *, sum(fresh) OVER (PARTITION BY contig ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM marks),
+merged AS (SELECT contig, min(a) AS start0, max(b) AS end0 FROM isles GROUP BY contig, g)"""
+_add("realignment_targets", f"""WITH {_ops("reads")}, {_ISLES} SELECT * FROM merged""", "reads", "known_indels")
+
+# Gains of the candidate indels: each read of a target against each candidate of that target near it, at all near places.
+_GENOME = "genome AS MATERIALIZED (SELECT contig, string_agg(seq, '' ORDER BY block) AS letters FROM ref_blocks GROUP BY contig)"
+_GAINS = f"""
+plain AS (SELECT DISTINCT {_KEY}, end0, sequence, qualities, read_group, sample FROM reads
+          WHERE flag & 3844 = 0 AND regexp_full_match(cigar, '([0-9]+[MID])+') AND length(sequence) = length(qualities)),
+near AS (SELECT r.*, concat(t.contig, ':', t.start0, ':', t.end0) AS target, t.start0 AS t0, t.end0 AS t1,
+            row_number() OVER (PARTITION BY {", ".join("r." + c for c in _KEY.split(", "))}, sequence, qualities, read_group, sample
+                               ORDER BY least(r.end0, t.end0) - greatest(r.start0, t.start0) DESC, t.start0, t.end0) AS n
+         FROM plain r JOIN merged t ON r.contig = t.contig AND r.start0 < t.end0 AND t.start0 < r.end0),
+placed AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, coalesce(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[ID]', 1), lambda g: CAST(g AS BIGINT))), 0)::BIGINT AS own
+           FROM near WHERE n = 1),
+gaps AS (SELECT {_KEY}, sequence, ref_at, read_at, len, op, count(*) FILTER (op IN ('I', 'D')) OVER (PARTITION BY {_KEY}, sequence) AS many FROM ops),
+cands AS MATERIALIZED (
+    SELECT DISTINCT p.target, p.contig, ref_at AS pos, CASE WHEN op = 'D' THEN len ELSE 0 END AS del_len,
+           CASE WHEN op = 'I' THEN substr(p.sequence, read_at + 1, len) ELSE '' END AS ins
+    FROM placed p JOIN gaps g ON (p.read_name, p.flag, p.contig, p.start0, p.cigar, p.sequence) = (g.read_name, g.flag, g.contig, g.start0, g.cigar, g.sequence)
+    WHERE g.op IN ('I', 'D') AND many = 1
+    UNION
+    SELECT DISTINCT p.target, p.contig, k.start0 + 1, length(ref) - 1, substr(alt, 2)
+    FROM (SELECT DISTINCT target, contig, t0, t1 FROM placed) p JOIN known_indels k ON k.contig = p.contig AND k.start0 < p.t1 AND p.t0 < k.end0
+    WHERE substr(ref, 1, 1) = substr(alt, 1, 1) AND (length(ref) > 1) <> (length(alt) > 1)),
+pairs AS (SELECT p.*, c.pos, c.del_len, c.ins, del_len + length(ins) AS size FROM placed p JOIN cands c USING (target)
+          WHERE p.start0 < pos + del_len + del_len + length(ins) + 10 AND pos - del_len - length(ins) - 10 < p.end0),
+spanned AS (SELECT *, greatest(0, least(start0 - size - own - 10, pos)) AS lo, greatest(end0 + size + own + 10, pos + del_len) AS hi FROM pairs),
+shaped AS (SELECT c.* EXCLUDE (contig), contig, concat(substr(letters, lo + 1, pos - lo), ins, substr(letters, pos + del_len + 1, hi - pos - del_len)) AS hap FROM spanned c JOIN genome USING (contig)),
+now AS MATERIALIZED (SELECT p.rid, coalesce(sum(CASE WHEN base <> ref_base THEN quality END), 0) AS current
+        FROM placed p LEFT JOIN bases b ON (p.read_name, p.flag, p.contig, p.start0, p.cigar, p.sequence) = (b.read_name, b.flag, b.contig, b.start0, b.cigar, b.sequence) GROUP BY p.rid),
+costs AS (SELECT rid, target, pos, del_len, ins, lo, length(sequence) AS n, list_transform(range(0, length(hap) - length(sequence) + 1), lambda p: list_sum(list_transform(
+               range(1, length(sequence) + 1), lambda i: CASE WHEN substr(hap, p + i, 1) <> substr(sequence, i, 1) THEN ascii(substr(qualities, i, 1)) - 33 ELSE 0 END))) AS costs
+          FROM shaped),
+tried AS MATERIALIZED (SELECT * EXCLUDE (costs), list_min(costs) AS score, list_position(costs, list_min(costs)) - 1 AS a FROM costs),
+gains AS (SELECT target, pos, del_len, ins, count(*) AS reads, count(*) FILTER (score < current) AS better,
+              CAST(sum(greatest(current - score, 0)) AS BIGINT) AS gain FROM tried JOIN now USING (rid) GROUP BY target, pos, del_len, ins)"""
+_add("realign_gains", f"""WITH {_ops("reads")}, {_BASES}, {_ISLES}, {_GENOME}, {_GAINS} SELECT * FROM gains""", "reads", "known_indels", "ref_blocks")
+
+
+def _realigned(lod: float) -> str:
+    """Reads with those moved that fit the accepted candidate of their target better."""
+    return f"""{_ops("reads")}, {_BASES}, {_ISLES}, {_GENOME}, {_GAINS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY gain DESC, pos, del_len, ins) AS r FROM gains WHERE gain >= {10 * lod}),
+moving AS (SELECT t.*, t.pos - lo AS x, length(t.ins) AS added FROM tried t JOIN now USING (rid) JOIN ranked k
+           ON k.r = 1 AND (k.target, k.pos, k.del_len, k.ins) = (t.target, t.pos, t.del_len, t.ins) WHERE score < current),
+fresh AS (SELECT rid, lo + CASE WHEN a + n <= x THEN a WHEN del_len > 0 THEN CASE WHEN a >= x THEN a + del_len ELSE a END
+                                WHEN a >= x + added THEN a - added WHEN a < x THEN a ELSE x END AS start0,
+       CASE WHEN a + n <= x OR (del_len > 0 AND a >= x) OR (del_len = 0 AND a >= x + added) THEN concat(n, 'M')
+            WHEN del_len > 0 THEN concat(x - a, 'M', del_len, 'D', n - (x - a), 'M')
+            WHEN a < x AND n - (x - a) > added THEN concat(x - a, 'M', added, 'I', n - (x - a) - added, 'M')
+            WHEN a < x THEN concat(x - a, 'M', n - (x - a), 'S')
+            WHEN x + added - a < n THEN concat(x + added - a, 'S', n - (x + added - a), 'M') END AS cigar FROM moving),
+moved AS (SELECT p.*, f.start0 AS new_start0, f.cigar AS new_cigar,
+              f.start0 + list_sum(list_transform(regexp_extract_all(f.cigar, '([0-9]+)[MD]', 1), lambda g: CAST(g AS BIGINT)))::BIGINT AS new_end0
+          FROM placed p JOIN fresh f USING (rid) WHERE f.cigar IS NOT NULL),
+realigned AS (SELECT r.* REPLACE (coalesce(new_start0, r.start0) AS start0, coalesce(new_end0, r.end0) AS end0, coalesce(new_cigar, r.cigar) AS cigar)
+    FROM reads r LEFT JOIN moved m ON (r.read_name, r.flag, r.contig, r.start0, r.cigar, r.sequence, r.qualities, r.read_group, r.sample)
+                                    = (m.read_name, m.flag, m.contig, m.start0, m.cigar, m.sequence, m.qualities, m.read_group, m.sample))"""
+
+
+_add("realign_indels", f"WITH {_realigned(5.0)} SELECT {_KEY}, end0 FROM realigned", "reads", "known_indels", "ref_blocks")
+_add("realign_indels_low_threshold", f"WITH {_realigned(0.3)} SELECT {_KEY}, end0 FROM realigned", "reads", "known_indels", "ref_blocks")
 
 
 # ---- recalibration -------------------------------------------------------------------------------------------

@@ -478,12 +478,24 @@ def realignment_targets(fx):
     return realign.realignment_targets(fx.reads, fx.known_indels, window=4096)
 
 
+@query
+def realign_gains(fx):
+    targets = realign.realignment_targets(fx.reads, fx.known_indels)
+    return realign.candidate_gains(fx.reads, targets, fx.ref_blocks, fx.known_indels, width=BLOCK)
+
+
 @query
 def realign_indels(fx):
     targets = realign.realignment_targets(fx.reads, fx.known_indels)
     return realign.realign_indels(fx.reads, targets, fx.ref_blocks, fx.known_indels, width=BLOCK).select(*_LOCUS, "end0")
 
 
+@query
+def realign_indels_low_threshold(fx):
+    targets = realign.realignment_targets(fx.reads, fx.known_indels)
+    return realign.realign_indels(fx.reads, targets, fx.ref_blocks, fx.known_indels, lod=0.3, width=BLOCK).select(*_LOCUS, "end0")
+
+
 @query
 def apply_recalibration(fx):
     table = stage(recal.recalibration_table(fx.reads, fx.ref_blocks, fx.known_sites, BLOCK), "recalibration")
