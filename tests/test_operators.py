@@ -171,15 +171,45 @@ def test_recalibration_counts_and_application(spark):
     assert applied.qualities == "".join(q)
 
 
-def test_recalibration_in_slices_is_the_same(spark, monkeypatch):
+def test_recalibration_in_shares_is_the_same(spark):
     rng = random.Random(3)
     rows = [dict(read_name=f"r{i}", start0=(s := rng.randint(0, 30)), sequence=REF[s:s + 10], read_group=f"rg{i % 3}",
                  flag=rng.choice([0, 16, 128])) for i in range(60)]
-    df = reads_df(spark, rows + [dict(read_name="other", read_group="none", flag=4, contig=None, start0=None, cigar="*")])
+    rows += [dict(read_name="other", read_group="none", flag=4, contig=None, start0=None, cigar="*"), dict(read_name="unnamed", read_group=None),
+             dict(read_name="odd", read_group="rg0", qualities="II"), dict(read_name="bare", read_group="rg1", qualities=None),
+             dict(read_name="tagged", read_group="rg2", start0=4, sequence=REF[4:14], tags={"NM": "0"})]
+    df = reads_df(spark, rows)
     table = recal.recalibration_table(df, ref_df(spark), None, 10)
-    whole = as_set(recal.apply_recalibration(df, table), "read_name", "qualities")
-    monkeypatch.setattr(recal, "_SLICE_ROWS", 1)
-    assert as_set(recal.apply_recalibration(df, table), "read_name", "qualities") == whole
+    whole = recal.apply_recalibration(df, table)
+    assert whole.schema == df.schema and whole.count() == len(rows)
+    for per_task in (1, 7):
+        shared = recal.apply_recalibration(df, table, per_task=per_task)
+        assert as_set(shared, "read_name", "qualities") == as_set(whole, "read_name", "qualities")
+    kept = {r.read_name: (r.qualities, r.tags) for r in whole.collect()}
+    assert kept["other"][0] == "I" * 10 and kept["odd"][0] == "II" and kept["bare"][0] is None and kept["tagged"][1] == {"NM": "0"}
+    assert recal.apply_recalibration(df.where("false"), table).count() == 0
+    assert as_set(recal.apply_recalibration(df, table.where("false")), "read_name", "qualities") == as_set(df, "read_name", "qualities")
+
+
+def test_recalibration_of_many_read_groups(spark):
+    """Each of several hundred read groups gets the qualities of its own table."""
+    rng = random.Random(4)
+    rows = []
+    for g in range(300):
+        for k in range(2):
+            start = rng.randint(0, 30)
+            text = list(REF[start:start + 10])
+            if rng.random() < 0.5:
+                at = rng.randrange(10)
+                text[at] = "A" if text[at] != "A" else "C"
+            rows.append(dict(read_name=f"r{g}-{k}", start0=start, sequence="".join(text), read_group=f"rg{g}"))
+    df = reads_df(spark, rows)
+    together = {r.read_name: r.qualities for r in recal.apply_recalibration(df, recal.recalibration_table(df, ref_df(spark), None, 10)).collect()}
+    assert len(together) == 600 and len(set(together.values())) > 2
+    for g in (0, 17, 299):
+        one = df.where(f"read_group = 'rg{g}'")
+        alone = recal.apply_recalibration(one, recal.recalibration_table(one, ref_df(spark), None, 10)).collect()
+        assert {r.read_name: r.qualities for r in alone} == {k: v for k, v in together.items() if k.startswith(f"r{g}-")}
 
 
 def test_planted_snp(spark):
