@@ -57,6 +57,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stage(df: DataFrame) -> None:
+    """Delete the table that ``stage`` wrote and ``df`` reads, once no plan will read it again."""
+    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
+        if not shared_dir(df.sparkSession).removeprefix("file:").lstrip("/") in name:
+            raise ValueError(f"{name} is no staged table")
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no further than the limit."""
     return df.limit(max_rows + 1).count() <= max_rows
