@@ -10,6 +10,10 @@ ceil(PERCENT % of the larger) shingles, so, in any order common to all sets, the
 The boundary between small and large is where the subsets begin to cost more than the lists, as measured on the corpus. The
 order puts shingles rare in the corpus first; it only makes lists short, any order is right.
 
+A pair that meets at places i and j of its prefixes can share no more than what follows there, so pairs that meet too late are left
+to the list where they meet first. Which shingles are on more than one list is told to the tasks by a bitmap of bounded size, so that
+the many that are on one list only are never written; whole sets are made again from the texts, for sets on such lists alone.
+
 Lists are not expanded into pairs. Equal sets are one class from the start. In some rounds every list names a few hubs, the
 other members are compared with these, and classes that link become one component; then only members of different components
 are left to compare, and all of those are. So a large group of near copies costs its size times the few members that link
@@ -29,8 +33,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm.bitmaps import bitmap_of, is_set
 from helixframe.llm.words import WordHashes, mixed
-from helixframe.runtime import fits, lookup_join, stage
+from helixframe.runtime import drop_stage, lookup_join, stage
 
 PERCENT = 80
 #: Shingles counted together in a task; frequent shingles the order knows (others count as rare); largest small set considered.
@@ -39,8 +44,6 @@ FREQUENT = 200_000
 LARGEST_SMALL = 64
 #: Rows up to which keys are broadcast.
 BROADCAST = 200_000
-#: Bytes up to which sets are broadcast.
-BROADCAST_BYTES = 32 << 20
 
 
 def need(n):
@@ -91,18 +94,23 @@ def boundary(costs: list[tuple[int, int, int]]) -> int:
     return at
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, k1, k2: 128 bits that stand for the row's doc_id and text."""
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("k2"))
+
+
 def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
-    """doc_id, key, n, set (128 bits), lists (shingles of inverted lists), subsets (keys of subsets of two), s (all shingles)."""
+    """doc_id, k1, k2, n, set (128 bits), lists (shingles of inverted lists, in the common order), subsets (keys of subsets of two), uid."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         known, rank = frequent.value
         for batch in batches:
             rows = []
-            for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"]):
+            for doc_id, k1, k2, text in zip(batch["doc_id"], batch["k1"], batch["k2"], batch["text"]):
                 s = words.shingles(text)
                 n = len(s)
                 if not n:
-                    rows.append((doc_id, key, 0, None, None, None, None))
+                    rows.append((doc_id, k1, k2, 0, None, None, None))
                     continue
                 at = np.minimum(np.searchsorted(known, s), max(0, len(known) - 1))
                 order = np.where(known[at] == s, rank[at], 0) if len(known) else np.zeros(n, dtype="int64")
@@ -111,16 +119,71 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                 subsets = None
                 if 2 <= n <= small:
                     a, b = np.triu_indices(len(first), 1)
-                    subsets = np.unique(mixed(np.minimum(first[a], first[b]) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(first[a], first[b]))).view("int64")
+                    subsets = np.unique(mixed(np.minimum(first[a], first[b]) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(first[a], first[b])) | np.uint64(1)).view("int64")
                 whole = mixed(s + np.uint64(1)).sum(dtype="uint64"), mixed(s ^ np.uint64(0x5BD1E995)).sum(dtype="uint64")
-                rows.append((doc_id, key, n, np.array(whole).tobytes(), first[:max(1, k - 1)].view("int64"), subsets, s.view("int64")))
-            yield pd.DataFrame(rows, columns=["doc_id", "key", "n", "set", "lists", "subsets", "s"])
+                # the last bit tells lists of shingles from subsets; two shingles that share a list by this cost a comparison more
+                lists = (first[:max(1, k - 1)] & ~np.uint64(1)).view("int64")
+                rows.append((doc_id, k1, k2, n, np.array(whole).tobytes(), lists, subsets))
+            yield pd.DataFrame(rows, columns=["doc_id", "k1", "k2", "n", "set", "lists", "subsets"])
 
-    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
-    signed = rows.mapInPandas(sign, "doc_id string, key long, n int, set binary, lists array<long>, subsets array<long>, s array<long>")
+    rows = _keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long").cast("string"))
+    signed = rows.mapInPandas(sign, "doc_id string, k1 long, k2 long, n int, set binary, lists array<long>, subsets array<long>")
     return signed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("uid", F.monotonically_increasing_id())
 
 
+def _on_shared(bitmap):
+    """The entries of a list column whose bit is set, each with its place in the column."""
+    @F.pandas_udf("array<struct<list:long,place:int>>")
+    def shared(lists: pd.Series) -> pd.Series:
+        bits = bitmap.value
+        out = []
+        for own in lists:
+            if own is None:
+                out.append([])
+                continue
+            own = np.asarray(own, dtype=np.int64)
+            at = np.flatnonzero(is_set(bits, own))
+            out.append([{"list": a, "place": b} for a, b in zip(own[at].tolist(), at.tolist())])
+        return pd.Series(out)
+
+    return shared.asNondeterministic()
+
+
+def _list_members(signed: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+    """list, light, place, uid, n, on, small: the entries of all lists with more than one member, of one row of each class."""
+    spark = signed.sparkSession
+    firsts = stage(signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi").select("uid", "n", "lists", "subsets"), "firsts")
+    both = F.concat("lists", F.coalesce("subsets", F.array().cast("array<long>")))
+    light = F.col("list").bitwiseAND(1) == 1
+    # a list with one member, or with small members only that meet by their subsets, compares nothing
+    shared = (firsts.select("n", F.explode(both).alias("list")).groupBy("list").agg(F.count("*").alias("size"), F.max("n").alias("longest"))
+              .where((F.col("size") > 1) & (light | (F.col("longest") > small) | (F.col("longest") < 2))).select(F.col("list").alias("key")))
+    shared = stage(shared, "shared-lists")
+    filtered = _on_shared(spark.sparkContext.broadcast(bitmap_of(shared)))
+    marked = firsts.select("uid", "n", filtered("lists").alias("l"), filtered("subsets").alias("s"))
+    entries = marked.select("uid", "n", (F.size("l") + F.size("s")).alias("on"), F.explode(F.concat("l", "s")).alias("e"))
+    members = stage(entries.select("e.list", "e.place", "uid", "n", "on", F.expr(f"n between 2 and {small}").alias("small"))
+                    .withColumn("light", light), "list-members")
+    drop_stage(firsts)
+    drop_stage(shared)
+    return members
+
+
+def _sets(docs: DataFrame, signed: DataFrame, members: DataFrame) -> DataFrame:
+    """uid, s: sorted shingles of every set that is on a list."""
+    wanted = stage(signed.select("uid", "k1", "k2").join(members.select("uid").distinct(), "uid", "left_semi"), "wanted-sets")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(F.col("k1").alias("key"))))
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = WordHashes()
+        for batch in batches:
+            mine = batch[is_set(bitmap.value, batch["k1"].to_numpy(np.int64))]
+            yield pd.DataFrame({"k1": mine["k1"], "k2": mine["k2"], "s": [words.shingles(t).tobytes() for t in mine["text"]]})
+
+    made = _keyed(docs).select("k1", "k2", "text").mapInPandas(shingles, "k1 long, k2 long, s binary")
+    return stage(made.join(wanted, ["k1", "k2"]).select("uid", "s"), "sets")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node) of the connected components of ``edges`` (u, v), by large and small stars in turn."""
     edges = stage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -140,36 +203,49 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def _shared_shingles():
+    @F.pandas_udf("long")
+    def shared(a: pd.Series, b: pd.Series) -> pd.Series:
+        out, last, one = np.empty(len(a), dtype=np.int64), None, None
+        for k, (x, y) in enumerate(zip(a, b)):
+            if x is not last:
+                last, one = x, np.frombuffer(x, dtype=np.uint64)
+            other = np.frombuffer(y, dtype=np.uint64)
+            few, many = (one, other) if len(one) <= len(other) else (other, one)
+            at = np.searchsorted(many, few)
+            out[k] = np.count_nonzero(many[np.minimum(at, len(many) - 1)] == few)
+        return pd.Series(out)
+
+    return shared.asNondeterministic()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v of the pairs whose sets are similar enough. The sets named as u are few, and broadcast where their bytes are."""
-    def side(name: str, of: str) -> DataFrame:
-        ids = pairs.select(F.col(name).alias("uid")).distinct()
-        ids = F.broadcast(ids) if fits(ids, BROADCAST) else ids
-        return sets.join(ids, "uid", "left_semi").select(F.col("uid").alias(name), F.col("s").alias(of))
+    """u, v of the pairs whose sets are similar enough."""
+    a, b = (sets.select(F.col("uid").alias(name), F.col("s").alias(of)) for name, of in (("u", "su"), ("v", "sv")))
+    both = pairs.join(a, "u").join(b, "v").select("u", "v", F.expr("(length(su) + length(sv)) div 8").alias("n"), _shared_shingles()("su", "sv").alias("both"))
+    return both.where(100 * F.col("both") >= PERCENT * (F.col("n") - F.col("both"))).select("u", "v")
 
-    a, b = side("u", "su"), side("v", "sv")
-    if (a.agg(F.sum(F.size("su"))).first()[0] or 0) * 8 <= BROADCAST_BYTES:
-        a = F.broadcast(a)
-    both = F.size(F.array_intersect("su", "sv"))
-    return pairs.join(b, "v").join(a, "u").where(100 * both >= PERCENT * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
+#: Sets of n and m shingles that meet first at places i and j of their prefixes may still share enough.
+_ENOUGH = (f"100 * least(n, m) >= {PERCENT} * greatest(n, m) and (light or "
+           f"{100 + PERCENT} * (1 + least(n - place - 1, m - seat - 1)) >= {PERCENT} * (n + m))")
 
-_LONG_ENOUGH = f"100 * least(n, m) >= {PERCENT} * greatest(n, m)"
 
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
 
-def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int, hubs: int = 1) -> DataFrame:
-    """u, v: members of a list with hubs of it that they are not in a component with."""
-    rows = members.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    orders = [F.struct(F.xxhash64("uid", F.lit(round_ * hubs + j)).alias("o"), "uid", "n", "label", "small") for j in range(hubs)]
-    if round_ == 0:  # first of all the member that is on most lists: an original is on more than its near copies
-        orders[0] = F.struct((-F.col("on")).alias("o"), "uid", "n", "label", "small")
-    named = rows.groupBy("list").agg(F.count_distinct("label").alias("labels"), *[F.min(o).alias(f"h{j}") for j, o in enumerate(orders)]) \
-                .where("labels > 1").select("list", F.array_distinct(F.array(*[F.struct(
-                    f"h{j}.uid", f"h{j}.n", f"h{j}.label", f"h{j}.small") for j in range(hubs)])).alias("hubs"))
-    return (rows.join(named, "list").select("uid", "n", "label", "small", "light", F.explode("hubs").alias("h"))
-            .select(F.col("h.uid").alias("u"), F.col("uid").alias("v"), "n", F.col("h.n").alias("m"), "light",
-                    (F.col("small") & F.col("h.small")).alias("both_small"), (F.col("label") == F.col("h.label")).alias("same"))
-            .where("u <> v and not same and (light or not both_small)").where(_LONG_ENOUGH).select("u", "v").distinct())
+
+def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
+    """u, v: members of a list with a hub of it that they are not in a component with."""
+    rows = _labelled(members, labels)
+    # first of all the member that is on most lists: an original is on more than its near copies
+    order = -F.col("on").cast("long") if round_ == 0 else F.xxhash64("uid", F.lit(round_))
+    named = rows.groupBy("list").agg(F.min("label").alias("one"), F.max("label").alias("other"),
+                                     F.min(F.struct(order.alias("o"), "uid", "n", "label", "small", "place")).alias("h")).where("one <> other").select("list", "h")
+    return (rows.join(named, "list").select(F.col("h.uid").alias("u"), F.col("uid").alias("v"), "n", F.col("h.n").alias("m"), "light", "place",
+                                            F.col("h.place").alias("seat"), (F.col("small") & F.col("h.small")).alias("both_small"),
+                                            (F.col("label") == F.col("h.label")).alias("same"))
+            .where("u <> v and not same and (light or not both_small)").where(_ENOUGH).select("u", "v").distinct())
 
 
 def _all_pairs_left(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -177,19 +253,30 @@ def _all_pairs_left(members: DataFrame, labels: DataFrame) -> DataFrame:
 
     In each list, the members outside its largest component meet all others, so a list that is one component gives nothing.
     """
-    rows = members.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    rows = _labelled(members, labels)
     sizes = rows.groupBy("list", "label").agg(F.count("*").alias("size"))
     main = sizes.groupBy("list").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
     split = stage(rows.join(main, "list"), "split-lists")
-    few = split.where("label <> main").select("list", F.col("uid").alias("a"), "n", F.col("label").alias("la"), F.col("small").alias("sa"))
-    others = split.select("list", F.col("uid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), F.col("small").alias("sb"), "light", "main")
-    return (few.join(others, (few["list"] == others["list"]) & (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-                     & (F.col("light") | ~(F.col("sa") & F.col("sb"))) & F.expr(_LONG_ENOUGH))
+    few = split.where("label <> main").select("list", F.col("uid").alias("a"), "n", "place", F.col("label").alias("la"), F.col("small").alias("sa"))
+    others = split.select(F.col("list").alias("of"), F.col("uid").alias("b"), F.col("n").alias("m"), F.col("place").alias("seat"), F.col("label").alias("lb"),
+                          F.col("small").alias("sb"), "light", "main")
+    return (few.join(others, (F.col("list") == F.col("of")) & (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
+                     & (F.col("light") | ~(F.col("sa") & F.col("sb"))) & F.expr(_ENOUGH))
             .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
 
 
-def similar_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, with key (hash of doc_id and text) and uid (row)."""
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (uid, label; a uid without a row is its own label) after the components of ``links`` have become one each."""
+    end = lambda name: labels.select(F.col("uid").alias(name), F.col("label").alias(f"l{name}"))
+    edges = links.join(end("u"), "u", "left").join(end("v"), "v", "left").select(F.coalesce("lu", "u").alias("u"), F.coalesce("lv", "v").alias("v"))
+    joined = components(edges)
+    renamed = joined.select(F.col("node").alias("label"), F.col("label").alias("now"))
+    return stage(labels.join(renamed, "label", "left").select("uid", F.coalesce("now", "label").alias("label"))
+                 .unionByName(joined.select(F.col("node").alias("uid"), "label")), "labels")
+
+
+def similar_documents(docs: DataFrame, rounds: int = 2) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, with k1 and k2 (128 bits of doc_id and text), uid (row) and label (component)."""
     docs = docs.select("doc_id", "text")
     survey = stage(_surveyed(docs), "shingle-survey")
     top = survey.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
@@ -198,44 +285,40 @@ def similar_documents(docs: DataFrame, rounds: int = 3) -> DataFrame:
     by_hash = np.argsort(h)
     frequent = docs.sparkSession.sparkContext.broadcast((h[by_hash], top["c"].to_numpy("int64")[by_hash]))
     small = boundary([tuple(r) for r in costs])
+    drop_stage(survey)
     signed = stage(_signatures(docs, frequent, small), "signatures")
     classes = stage(signed.where("n > 0").groupBy("set", "n").agg(F.min("uid").alias("class")), "classes")
-    firsts = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi")
-    entries = (firsts.select("uid", "n", F.lit(False).alias("light"), F.explode("lists").alias("list"))
-               .unionByName(firsts.where("subsets is not null").select("uid", "n", F.lit(True).alias("light"), F.explode("subsets").alias("list"))))
-    # a list with one member, or with small members only that meet by their subsets, compares nothing
-    shared = entries.groupBy("list", "light").agg(F.count("*").alias("size"), F.max("n").alias("longest")).where(
-        f"size > 1 and (light or longest > {small} or longest < 2)").select("list", "light")
-    members = stage(entries.join(shared, ["list", "light"], "left_semi"), "list-members")
-    wanted = stage(members.groupBy("uid").agg(F.count("*").alias("on")), "listed")
-    sets = signed.where("n > 0").select("uid", "s")
-    members = members.join(wanted.select("uid", "on"), "uid").select(
-        F.xxhash64("list", "light").alias("list"), "light", "uid", "n", "on", F.expr(f"n between 2 and {small}").alias("small"))
-    members = stage(members, "list-members")
-    links, labels = None, docs.sparkSession.createDataFrame([], "uid long, label long")
+    members = _list_members(signed, classes, small)
+    rows = stage(signed.select("doc_id", "k1", "k2", "uid", "n", "set"), "set-names")
+    drop_stage(signed)
+    sets = _sets(docs, rows, members)
+    labels = stage(docs.sparkSession.createDataFrame([], "uid long, label long"), "labels")
     for step in range(rounds + 1):
-        pairs = _hub_pairs(members, labels, step) if step < rounds else _all_pairs_left(members, labels)
-        found = _verified(stage(pairs, "pairs"), sets)
-        links = stage(found if links is None else links.unionByName(found), "links")
-        labels = components(links).withColumnRenamed("node", "uid")
+        pairs = stage(_hub_pairs(members, labels, step) if step < rounds else _all_pairs_left(members, labels), "pairs")
+        links = stage(_verified(pairs, sets), "links")
+        drop_stage(pairs)
+        labels = _merged(labels, links)
+        drop_stage(links)
+    drop_stage(sets)
+    drop_stage(members)
     of_class = classes.join(labels.select(F.col("uid").alias("class"), "label"), "class", "left").select(
         "set", "n", F.coalesce("label", "class").alias("label"))
-    labelled = stage(signed.select("doc_id", "key", "uid", "n", "set").join(of_class, ["set", "n"], "left")
-                     .select("doc_id", "key", "uid", "n", F.coalesce("label", "uid").alias("label")), "labelled")
+    labelled = stage(rows.join(of_class, ["set", "n"], "left").select("doc_id", "k1", "k2", "uid", "n", F.coalesce("label", "uid").alias("label")), "labelled")
     named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(named, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "key", "uid", "label")
+    return labelled.join(named, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "k1", "k2", "uid", "label")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, one of each component: that with the smallest doc_id; texts without words are all kept."""
+    key = ["k1", "k2"]
     rows = stage(similar_documents(docs), "components")
-    kept = rows.where("n_shingles > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid", "key")).alias("k"),
-                                                            F.count("*").alias("size")).where("size > 1").select("label", F.col("k.key").alias("chosen"))
-    grouped = stage(rows.where("n_shingles > 0").join(kept, "label").groupBy("key").agg(
-        F.max(F.col("key") == F.col("chosen")).alias("first")), "groups")
-    own = F.xxhash64("doc_id", "text").alias("_key")
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), own)
-    marked = lookup_join(marked.withColumnRenamed("_key", "key"), grouped, ["key"], "left", ["key"], BROADCAST)
+    kept = rows.where("n_shingles > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid", *key)).alias("k"),
+                                                            F.count("*").alias("size")).where("size > 1").select("label", F.col("k.k1").alias("c1"), F.col("k.k2").alias("c2"))
+    grouped = stage(rows.where("n_shingles > 0").join(kept, "label").groupBy(*key).agg(
+        F.max((F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))).alias("first")), "groups")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.xxhash64("doc_id", "text").alias("k1"),
+                         F.xxhash64("text", "doc_id", F.lit(1)).alias("k2"))
+    marked = lookup_join(marked, grouped, key, "left", key, BROADCAST)
     alone = marked.where("first is null").select("_row.*")
-    one = marked.where("first").groupBy("key").agg(F.first("_row").alias("_row")).select("_row.*")
+    one = marked.where("first").groupBy(*key).agg(F.first("_row").alias("_row")).select("_row.*")
     return alone.unionByName(one)

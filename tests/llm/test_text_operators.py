@@ -94,6 +94,22 @@ def test_jaccard_components(docs, rows, rounds):
     assert in_order(found) == in_order(components(rows))
 
 
+def test_jaccard_of_a_long_list_that_does_not_link(spark):
+    """Hundreds of texts share a passage and little else; some of them have a near copy."""
+    rng = random.Random(8)
+    words = [f"v{k}" for k in range(5000)]
+    passage = " ".join(rng.choice(words) for _ in range(9))
+    given = []
+    for k in range(400):
+        own = [rng.choice(words) for _ in range(rng.choice([3, 60]))]
+        given.append((k, " ".join([*own, passage])))
+        if k % 10 == 0:
+            given.append((1000 + k, " ".join([*own, passage, "end"])))
+    found = jaccard.similar_documents(spark.createDataFrame(given, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()
+    expected = components(given)
+    assert in_order(found) == in_order(expected) and 10 < sum(c != i for i, _, c in expected)
+
+
 def test_jaccard_keeps_one(docs, rows):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
