@@ -1,26 +1,50 @@
 """Interval joins by position bins. Both sides carry contig, start0, end0 (0-based, half-open)."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.runtime import SALTS, lookup_join, salt_of, stage
 
+#: Bytes up to which the right side of a join is broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Growth of the bin width from one level to the next.
 _LEVEL_FACTOR = 8
 READ_KEY = ["read_name", "flag", "contig", "start0", "cigar"]
 
 
-def _slots(level: int, width: int):
-    """Bins of one level a row lies in, each with the level."""
-    bins = F.sequence(F.expr(f"start0 div {width}"), F.expr(f"(end0 - 1) div {width}"))
-    return F.transform(bins, lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin")))
+def _bins(width: int):
+    """Bins of ``width`` the row lies in."""
+    return F.sequence(F.expr(f"start0 div {width}"), F.expr(f"(end0 - 1) div {width}"))
+
+
+def _slots(level: int, width: int, side: int, when):
+    """Bins of one level the row lies in, where ``when`` holds, as (lane, bin); ``side`` tells whose own level this is."""
+    own = F.transform(_bins(width), lambda b: F.struct(F.lit(2 * level + side).alias("lane"), b.alias("bin")))
+    return F.when(when, own).otherwise(F.array().cast("array<struct<lane:int,bin:bigint>>"))
+
+
+@dataclass
+class _Size:
+    """What is known of one side: rows, bytes, and the length of its longest interval."""
+    rows: int
+    bytes: int
+    longest: int
 
 
-def _levels(right: DataFrame, bin_width: int) -> list[int]:
-    """Bin widths needed so that no right interval spans more than two bins of its level."""
-    longest = right.agg(F.max(F.col("end0") - F.col("start0"))).first()[0] or 0
+def _size_of(df: DataFrame, with_bytes: bool) -> _Size:
+    text = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(16)) if with_bytes else F.lit(0)
+    r = df.agg(F.count("*").alias("n"), F.sum(text).alias("b"), F.max(F.col("end0") - F.col("start0")).alias("l")).first()
+    return _Size(r["n"], r["b"] or 0, r["l"] or 0)
+
+
+def _widths(longest: int, bin_width: int) -> list[int]:
+    """Bin widths of the levels: an interval's own level is the first whose bins are as long as it, so it lies in two of them at most."""
     widths = [bin_width]
     while widths[-1] < longest:
         widths.append(widths[-1] * _LEVEL_FACTOR)
@@ -28,61 +52,104 @@ def _levels(right: DataFrame, bin_width: int) -> list[int]:
 
 
 def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", *, bin_width: int = 256,
-                 key: list[str] | None = None, right_prefix: str = "r_", salts: int = SALTS) -> DataFrame:
+                 key: list[str] | None = None, right_prefix: str = "r_", salts: int = SALTS,
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` they share at least one base with.
 
-    ``how`` is inner, left, left_semi or left_anti; ``key`` names the columns that identify a left row
-    (needed by all but inner). Right columns come back prefixed. Each right interval lives in one or two
-    bins of the level that fits its length and is copied ``salts`` times; left rows are spread over the
-    copies, so a bin holding a large share of the rows is still worked on by many tasks. A pair is
-    emitted only in the first bin both sides share, so nothing has to be de-duplicated.
+    ``how`` is inner, left, left_semi or left_anti. Right columns come back prefixed. A right side that fits ``broadcast_bytes``
+    is broadcast, and left rows are not shuffled: inner joins probe its bins, semi and anti joins the union of its intervals, sorted by
+    contig. Otherwise both sides are shuffled by bin; the bins that hold a large share of the left rows are counted first, and
+    only these are spread over ``salts`` tasks.
+
+    Every interval has a level whose bins are at least as long as it, and a pair meets on the coarser level of its two, so neither a long
+    left nor a long right row is in more than two bins of a level. A pair is emitted only in the first bin both share. Rows are
+    told apart by themselves, not by ``key``, which is accepted and not needed: equal left rows are joined each on its own.
     """
     if how == "inner":
-        return _pairs(left, right, bin_width, right_prefix, salts)
-    if not key:
-        raise ValueError(f"{how} needs key columns that identify a left row")
-    narrow = left.select(*dict.fromkeys(key + ["contig", "start0", "end0"]))
-    if how in ("left_semi", "left_anti"):
-        spans = right.select("contig", "start0", "end0")
-        hits = _pairs(narrow, spans, bin_width, right_prefix, salts).select(*key).distinct()
-        return left.join(hits, key, how)
-    if how == "left":
-        hits = _pairs(narrow, right, bin_width, right_prefix, salts)
-        return left.join(hits.select(*key, *[c for c in hits.columns if c.startswith(right_prefix)]), key, "left")
-    raise ValueError(f"unknown join type {how!r}")
-
-
-def _pairs(left: DataFrame, right: DataFrame, bin_width: int, prefix: str, salts: int) -> DataFrame:
+        return _pairs(left, right, bin_width, right_prefix, salts, broadcast_bytes)
+    if how not in ("left", "left_semi", "left_anti"):
+        raise ValueError(f"unknown join type {how!r}")
+    spans = right.select("contig", "start0", "end0").where("contig is not null and end0 > start0")
+    if 24 * spans.count() <= broadcast_bytes:
+        hit = _union_probe(spans)
+        if how == "left_semi":
+            return left.where(hit)
+        missed = left.where(~hit)
+        if how == "left_anti":
+            return missed
+        found = _pairs(left, right, bin_width, right_prefix, salts, broadcast_bytes)
+    else:
+        rows = stage(left.withColumn("_row", F.monotonically_increasing_id()), "left-rows")
+        hits = _pairs(rows.select("_row", "contig", "start0", "end0"), spans, bin_width, right_prefix, salts, broadcast_bytes).select("_row").distinct()
+        if how != "left":
+            return rows.join(hits, "_row", how).drop("_row")
+        missed = rows.join(hits, "_row", "left_anti").drop("_row")
+        found = _pairs(rows.drop("_row"), right, bin_width, right_prefix, salts, broadcast_bytes)
+    nothing = [F.lit(None).cast(f.dataType).alias(right_prefix + f.name) for f in right.schema.fields]
+    return found.unionByName(missed.select("*", *nothing))
+
+
+def _union_probe(spans: DataFrame):
+    """Condition: the row overlaps the union of ``spans``, which is broadcast as sorted arrays by contig."""
+    table = {}
+    for contig, rows in spans.toPandas().groupby("contig"):  # as many bytes as the caller has checked
+        rows = rows.sort_values("start0")
+        start, reach = rows["start0"].to_numpy(), np.maximum.accumulate(rows["end0"].to_numpy())
+        first = np.concatenate([[True], start[1:] > reach[:-1]])  # where a new disjoint stretch begins
+        last = np.concatenate([first[1:], [True]])
+        table[contig] = (start[first], reach[last])
+    shared = spans.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def overlaps(contig: pd.Series, start0: pd.Series, end0: pd.Series) -> pd.Series:
+        out, start, end = np.zeros(len(contig), dtype=bool), start0.to_numpy(), end0.to_numpy()
+        for name, rows in contig.groupby(contig).indices.items():
+            if name in shared.value:
+                starts, ends = shared.value[name]
+                at = np.searchsorted(ends, start[rows], side="right")  # the first stretch that ends behind the row's start
+                out[rows] = (at < len(ends)) & (starts[np.minimum(at, len(ends) - 1)] < end[rows]) & (end[rows] > start[rows])
+        return pd.Series(out)
+
+    return overlaps("contig", "start0", "end0")
+
+
+def _pairs(left: DataFrame, right: DataFrame, bin_width: int, prefix: str, salts: int, broadcast_bytes: int) -> DataFrame:
     left = left.where("contig is not null and end0 > start0")
     right = right.where("contig is not null and end0 > start0")
-    widths = _levels(right, bin_width)
+    mine, theirs = _size_of(left, False), _size_of(right, True)
+    widths = _widths(max(mine.longest, theirs.longest), bin_width)
+    top_left, top_right = len(_widths(mine.longest, bin_width)) - 1, len(_widths(theirs.longest, bin_width)) - 1
     span = F.col("end0") - F.col("start0")
-    if len(widths) == 1:
-        level_of, width_of = F.lit(0), F.lit(widths[0])
-        left_bins = _slots(0, widths[0])
+    level = F.lit(len(widths) - 1)
+    for k in range(len(widths) - 2, -1, -1):
+        level = F.when(span <= widths[k], F.lit(k)).otherwise(level)
+    # on side 0 the left row is at its own level and the right row there or finer; on side 1 the right row is, and the left one is finer
+    lanes = [_slots(k, widths[k], 0, level == k) for k in range(top_left + 1)] + [_slots(k, widths[k], 1, level < k) for k in range(1, top_right + 1)]
+    binned_left = left.withColumn("_slot", F.explode(F.concat(*lanes)))
+    lanes = [_slots(k, widths[k], 0, level <= k) for k in range(top_left + 1)] + [_slots(k, widths[k], 1, level == k) for k in range(1, top_right + 1)]
+    binned_right = right.withColumn("_slot", F.explode(F.concat(*lanes))).select(
+        F.col("contig").alias("_c"), F.col("_slot").alias("_s"), *[F.col(c).alias(prefix + c) for c in right.columns])
+    width = F.get(F.array(*[F.lit(w).cast("bigint") for w in widths]), F.shiftright("_slot.lane", 1))
+    meets = ((F.col("contig") == F.col("_c")) & (F.col("_slot") == F.col("_s"))
+             & (F.col("start0") < F.col(f"{prefix}end0")) & (F.col(f"{prefix}start0") < F.col("end0"))
+             & (F.col("_slot.bin") == F.floor(F.greatest("start0", f"{prefix}start0") / width)))
+    if theirs.bytes * 2 * (top_left + 2) <= broadcast_bytes:
+        joined = binned_left.join(F.broadcast(binned_right), meets)
     else:
-        level_of, width_of = F.lit(len(widths) - 1), F.lit(widths[-1])
-        for k in range(len(widths) - 2, -1, -1):
-            level_of = F.when(span <= widths[k], F.lit(k)).otherwise(level_of)
-            width_of = F.when(span <= widths[k], F.lit(widths[k])).otherwise(width_of)
-        left_bins = F.concat(*[_slots(k, w) for k, w in enumerate(widths)])
-    out_left = left.columns
-    binned_left = (left.withColumn("_salt", salt_of(hashable_columns(left), salts))
-                   .withColumn("_slot", F.explode(left_bins))
-                   .withColumn("_level", F.col("_slot.level")).withColumn("_bin", F.col("_slot.bin")).drop("_slot"))
-    binned_right = (right.withColumn("_level", level_of).withColumn("_width", width_of.cast("bigint"))
-                    .withColumn("_bin", F.explode(F.expr(
-                        "sequence(start0 div _width, (end0 - 1) div _width)")))
-                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    renamed = binned_right.select(F.col("contig").alias("_c"), F.col("_level").alias("_l"), F.col("_bin").alias("_b"),
-                                  F.col("_salt").alias("_s"), F.col("_width"),
-                                  *[F.col(c).alias(prefix + c) for c in right.columns])
-    condition = ((F.col("contig") == F.col("_c")) & (F.col("_level") == F.col("_l")) & (F.col("_bin") == F.col("_b"))
-                 & (F.col("_salt") == F.col("_s"))
-                 & (F.col("start0") < F.col(f"{prefix}end0")) & (F.col(f"{prefix}start0") < F.col("end0"))
-                 & (F.col("_bin") == F.expr(f"greatest(start0, {prefix}start0) div _width")))
-    return binned_left.join(renamed, condition, "inner").select(
-        *out_left, *[prefix + c for c in right.columns])
+        joined = _spread(binned_left, binned_right, mine.rows, salts, hashable_columns(left), meets)
+    return joined.select(*left.columns, *[prefix + c for c in right.columns])
+
+
+def _spread(left: DataFrame, right: DataFrame, rows: int, salts: int, spread: list[str], meets) -> DataFrame:
+    """The join with the few slots that hold more than a five-hundredth of the left rows spread over ``salts`` tasks each."""
+    hot = (left.groupBy("contig", "_slot").count().where(F.col("count") > max(1, rows // 500))
+           .select(F.col("contig").alias("_hc"), F.col("_slot").alias("_hs"), F.lit(True).alias("_hot")))
+    hot = F.broadcast(stage(hot, "hot-slots"))  # 500 rows for each lane and bin a row can lie in, at most
+    salt = F.when(F.col("_hot"), salt_of(spread, salts)).otherwise(F.lit(0))
+    copies = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    near = left.join(hot, (F.col("contig") == F.col("_hc")) & (F.col("_slot") == F.col("_hs")), "left").withColumn("_salt", salt).drop("_hc", "_hs", "_hot")
+    far = right.join(hot, (F.col("_c") == F.col("_hc")) & (F.col("_s") == F.col("_hs")), "left").withColumn("_copy", copies).drop("_hc", "_hs", "_hot")
+    return near.join(far, meets & (F.col("_salt") == F.col("_copy")))
 
 
 def hashable_columns(df: DataFrame) -> list[str]:

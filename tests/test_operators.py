@@ -85,6 +85,39 @@ def test_overlap_join_equals_brute_force(spark, longest):
     assert {tuple(r) for r in outer if r.r_name} == expected and {r.name for r in outer if not r.r_name} == {r[0] for r in left} - hit
 
 
+@pytest.mark.parametrize("size", [intervals.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("long_left", [False, True])
+def test_overlap_join_broadcast_and_spread(spark, size, long_left):
+    """Both ways of joining, with long left rows, hot bins, rows without a place, and left rows that are equal in every column."""
+    rng = random.Random(7)
+    left = [(f"l{i}", "chr1", 500, 536) for i in range(700)] + [("twin", "chr1", 480, 520)] * 2 + [
+        (f"m{i}", f"chr{rng.randint(1, 3)}", s := rng.randint(0, 90_000), s + rng.choice([20, 300, 20_000 if long_left else 40])) for i in range(100)]
+    left += [("none", None, None, None), ("nowhere", "chr9", 5, 50), ("void", "chr1", 505, 505)]
+    right = [(f"r{i}", f"chr{rng.randint(1, 2)}", s := rng.randint(0, 90_000), s + rng.choice([1, 200, 3_000, 60_000])) for i in range(30)]
+    right += [("hot", "chr1", 490, 510), ("empty", "chr1", 505, 505), ("unplaced", None, 1, 2)]
+    schema = "name string, contig string, start0 bigint, end0 bigint"
+    a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    placed, real = [r for r in left if r[1] and r[2] < r[3]], [r for r in right if r[1] and r[2] < r[3]]
+    expected = sorted((x[0], y[0]) for x in placed for y in real if x[1] == y[1] and x[2] < y[3] and y[2] < x[3])
+    hit = {x for x, _ in expected}
+    join = lambda how: intervals.overlap_join(a, b, how, broadcast_bytes=size)
+    assert sorted(tuple(r) for r in join("inner").select("name", "r_name").collect()) == expected
+    assert sorted(r.name for r in join("left_semi").collect()) == sorted(r[0] for r in left if r[0] in hit)
+    alone = sorted(r[0] for r in left if r[0] not in hit)
+    assert sorted(r.name for r in join("left_anti").collect()) == alone
+    outer = [tuple(r) for r in join("left").select("name", "r_name").collect()]
+    assert sorted(r for r in outer if r[1]) == expected and sorted(r[0] for r in outer if not r[1]) == alone
+
+
+def test_a_target_list_does_not_shuffle_the_reads(spark):
+    a = spark.range(1000).selectExpr("concat('x', id) as name", "'chr1' as contig", "id * 10 as start0", "id * 10 + 50 as end0")
+    b = spark.createDataFrame([("chr1", 100, 250), ("chr1", 240, 900)], "contig string, start0 bigint, end0 bigint")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plan = intervals.overlap_join(a, b, how)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert intervals.overlap_join(a, b, "left_semi").count() == 84 and intervals.overlap_join(a, b, "left").count() == 1000 + 5
+
+
 def test_merge_and_signal_across_stretches(spark):
     spans = spark.createDataFrame([("c", 0, 10), ("c", 10, 20), ("c", 15, 130), ("c", 140, 150), ("d", 3, 4)],
                                   "contig string, start0 bigint, end0 bigint")
