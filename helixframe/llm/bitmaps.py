@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Bits for a key, bits of a bitmap at most, bits of one piece of it. With more keys than MOST_BITS / BITS_PER_KEY, more of the
 #: other keys pass by error, which costs work and changes no result.
-BITS_PER_KEY = 16
+BITS_PER_KEY = 32
 MOST_BITS = 1 << 28
 _PIECE = 1 << 15
 

@@ -10,9 +10,10 @@ ceil(PERCENT % of the larger) shingles, so, in any order common to all sets, the
 The boundary between small and large is where the subsets begin to cost more than the lists, as measured on the corpus. The
 order puts shingles rare in the corpus first; it only makes lists short, any order is right.
 
-A pair that meets at places i and j of its prefixes can share no more than what follows there, so pairs that meet too late are left
-to the list where they meet first. Which shingles are on more than one list is told to the tasks by a bitmap of bounded size, so that
-the many that are on one list only are never written; whole sets are made again from the texts, for sets on such lists alone.
+Most prefix shingles are on a list of their own. Which are not is told to the tasks by a bitmap of bounded size, so that lists of
+one member are never written. Two bounds leave out pairs that cannot link, before they are made: a pair that meets at places i and j of its
+prefixes shares no more than what follows there, or else it has met before on another list; and of two sets, the one whose prefix
+ends first in the common order shares none of its prefix shingles that no other prefix has.
 
 Lists are not expanded into pairs. Equal sets are one class from the start. In some rounds every list names a few hubs, the
 other members are compared with these, and classes that link become one component; then only members of different components
@@ -100,7 +101,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
-    """doc_id, k1, k2, n, set (128 bits), lists (shingles of inverted lists, in the common order), subsets (keys of subsets of two), uid."""
+    """doc_id, k1, k2, n, set (128 bits), lists (shingles of inverted lists, in the common order), subsets (keys of subsets of two),
+    end (rank and shingle of the last one on lists, as numbers in order), s (all shingles), uid."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         known, rank = frequent.value
@@ -110,12 +112,13 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                 s = words.shingles(text)
                 n = len(s)
                 if not n:
-                    rows.append((doc_id, k1, k2, 0, None, None, None))
+                    rows.append((doc_id, k1, k2, 0, None, None, None, None, None, None))
                     continue
                 at = np.minimum(np.searchsorted(known, s), max(0, len(known) - 1))
                 order = np.where(known[at] == s, rank[at], 0) if len(known) else np.zeros(n, dtype="int64")
                 k = n - need(n) + 2
-                first = s[np.argsort(order, kind="stable")[:k]]
+                places = np.argsort(order, kind="stable")[:k]
+                first, last = s[places], places[max(0, k - 2)]
                 subsets = None
                 if 2 <= n <= small:
                     a, b = np.triu_indices(len(first), 1)
@@ -123,11 +126,13 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                 whole = mixed(s + np.uint64(1)).sum(dtype="uint64"), mixed(s ^ np.uint64(0x5BD1E995)).sum(dtype="uint64")
                 # the last bit tells lists of shingles from subsets; two shingles that share a list by this cost a comparison more
                 lists = (first[:max(1, k - 1)] & ~np.uint64(1)).view("int64")
-                rows.append((doc_id, k1, k2, n, np.array(whole).tobytes(), lists, subsets))
-            yield pd.DataFrame(rows, columns=["doc_id", "k1", "k2", "n", "set", "lists", "subsets"])
+                rows.append((doc_id, k1, k2, n, np.array(whole).tobytes(), lists, subsets, int(order[last]), int(s[last]) - (1 << 63), s.tobytes()))
+            frame = pd.DataFrame(rows, columns=["doc_id", "k1", "k2", "n", "set", "lists", "subsets", "end_rank", "end", "s"])
+            yield frame.astype({"end_rank": "Int64", "end": "Int64"})
 
     rows = _keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long").cast("string"))
-    signed = rows.mapInPandas(sign, "doc_id string, k1 long, k2 long, n int, set binary, lists array<long>, subsets array<long>")
+    signed = rows.mapInPandas(sign, "doc_id string, k1 long, k2 long, n int, set binary, lists array<long>, subsets array<long>, "
+                               "end_rank long, end long, s binary")
     return signed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("uid", F.monotonically_increasing_id())
 
 
@@ -150,40 +155,30 @@ def _on_shared(bitmap):
 
 
 def _list_members(signed: DataFrame, classes: DataFrame, small: int) -> DataFrame:
-    """list, light, place, uid, n, on, small: the entries of all lists with more than one member, of one row of each class."""
+    """list, light, place, uid, n, on, small, lone, end_rank, end: the entries of all lists that compare anything, of one row of each class.
+
+    ``lone`` counts the set's prefix shingles that are in no other prefix (at least; a bit set by error hides some).
+    """
     spark = signed.sparkSession
-    firsts = stage(signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi").select("uid", "n", "lists", "subsets"), "firsts")
+    firsts = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi").select("uid", "n", "lists", "subsets", "end_rank", "end")
+    firsts = stage(firsts, "firsts")
     both = F.concat("lists", F.coalesce("subsets", F.array().cast("array<long>")))
     light = F.col("list").bitwiseAND(1) == 1
-    # a list with one member, or with small members only that meet by their subsets, compares nothing
-    shared = (firsts.select("n", F.explode(both).alias("list")).groupBy("list").agg(F.count("*").alias("size"), F.max("n").alias("longest"))
-              .where((F.col("size") > 1) & (light | (F.col("longest") > small) | (F.col("longest") < 2))).select(F.col("list").alias("key")))
-    shared = stage(shared, "shared-lists")
-    filtered = _on_shared(spark.sparkContext.broadcast(bitmap_of(shared)))
-    marked = firsts.select("uid", "n", filtered("lists").alias("l"), filtered("subsets").alias("s"))
-    entries = marked.select("uid", "n", (F.size("l") + F.size("s")).alias("on"), F.explode(F.concat("l", "s")).alias("e"))
-    members = stage(entries.select("e.list", "e.place", "uid", "n", "on", F.expr(f"n between 2 and {small}").alias("small"))
-                    .withColumn("light", light), "list-members")
+    shared = stage(firsts.select("n", F.explode(both).alias("list")).groupBy("list").agg(F.count("*").alias("size"), F.max("n").alias("longest"))
+                   .where("size > 1"), "shared-lists")
+    filtered = _on_shared(spark.sparkContext.broadcast(bitmap_of(shared.select(F.col("list").alias("key")))))
+    marked = firsts.select("uid", "n", F.size("lists").alias("listed"), filtered("lists").alias("l"), filtered("subsets").alias("s"), "end_rank", "end")
+    entries = marked.select("uid", "n", (F.col("listed") - F.size("l")).alias("lone"), (F.size("l") + F.size("s")).alias("on"), "end_rank", "end",
+                            F.explode(F.concat("l", "s")).alias("e"))
+    passed = entries.select("e.list", "e.place", "uid", "n", "on", "lone", "end_rank", "end", F.expr(f"n between 2 and {small}").alias("small")).withColumn("light", light)
+    # a list with small members only that meet by their subsets compares nothing
+    compared = shared.where(light | (F.col("longest") > small) | (F.col("longest") < 2)).select("list")
+    members = stage(passed.join(compared, "list", "left_semi"), "list-members")
     drop_stage(firsts)
     drop_stage(shared)
     return members
 
 
-def _sets(docs: DataFrame, signed: DataFrame, members: DataFrame) -> DataFrame:
-    """uid, s: sorted shingles of every set that is on a list."""
-    wanted = stage(signed.select("uid", "k1", "k2").join(members.select("uid").distinct(), "uid", "left_semi"), "wanted-sets")
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(F.col("k1").alias("key"))))
-
-    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
-        for batch in batches:
-            mine = batch[is_set(bitmap.value, batch["k1"].to_numpy(np.int64))]
-            yield pd.DataFrame({"k1": mine["k1"], "k2": mine["k2"], "s": [words.shingles(t).tobytes() for t in mine["text"]]})
-
-    made = _keyed(docs).select("k1", "k2", "text").mapInPandas(shingles, "k1 long, k2 long, s binary")
-    return stage(made.join(wanted, ["k1", "k2"]).select("uid", "s"), "sets")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node) of the connected components of ``edges`` (u, v), by large and small stars in turn."""
     edges = stage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -220,15 +215,25 @@ def _shared_shingles():
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v of the pairs whose sets are similar enough."""
-    a, b = (sets.select(F.col("uid").alias(name), F.col("s").alias(of)) for name, of in (("u", "su"), ("v", "sv")))
+    """u, v of the pairs whose sets are similar enough. Only sets of a pair are moved."""
+    side = lambda name, of: sets.join(pairs.select(F.col(name).alias("uid")).distinct(), "uid", "left_semi").select(F.col("uid").alias(name), F.col("s").alias(of))
+    a, b = side("u", "su"), side("v", "sv")
     both = pairs.join(a, "u").join(b, "v").select("u", "v", F.expr("(length(su) + length(sv)) div 8").alias("n"), _shared_shingles()("su", "sv").alias("both"))
     return both.where(100 * F.col("both") >= PERCENT * (F.col("n") - F.col("both"))).select("u", "v")
 
 
-#: Sets of n and m shingles that meet first at places i and j of their prefixes may still share enough.
-_ENOUGH = (f"100 * least(n, m) >= {PERCENT} * greatest(n, m) and (light or "
-           f"{100 + PERCENT} * (1 + least(n - place - 1, m - seat - 1)) >= {PERCENT} * (n + m))")
+def _may_link(a: str, b: str):
+    """The bounds on what the sets of two entries of one list can share, met at their places, leave enough. ``a``, ``b``: structs."""
+    x, y = F.col(a), F.col(b)
+    most = F.least(x["n"] - F.when(x["light"], 0).otherwise(x["place"]), y["n"] - F.when(x["light"], 0).otherwise(y["place"]))
+    before = (x["end_rank"] < y["end_rank"]) | ((x["end_rank"] == y["end_rank"]) & (x["end"] <= y["end"]))
+    after = (y["end_rank"] < x["end_rank"]) | ((x["end_rank"] == y["end_rank"]) & (y["end"] <= x["end"]))
+    most = F.least(most, F.when(before, x["n"] - x["lone"]).otherwise(x["n"]), F.when(after, y["n"] - y["lone"]).otherwise(y["n"]))
+    return (((100 + PERCENT) * most >= PERCENT * (x["n"] + y["n"])) & (100 * F.least(x["n"], y["n"]) >= PERCENT * F.greatest(x["n"], y["n"]))
+            & (x["light"] | ~(x["small"] & y["small"])))
+
+
+_MEMBER = ("uid", "n", "label", "place", "small", "light", "lone", "end_rank", "end")
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,11 +246,9 @@ def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
     # first of all the member that is on most lists: an original is on more than its near copies
     order = -F.col("on").cast("long") if round_ == 0 else F.xxhash64("uid", F.lit(round_))
     named = rows.groupBy("list").agg(F.min("label").alias("one"), F.max("label").alias("other"),
-                                     F.min(F.struct(order.alias("o"), "uid", "n", "label", "small", "place")).alias("h")).where("one <> other").select("list", "h")
-    return (rows.join(named, "list").select(F.col("h.uid").alias("u"), F.col("uid").alias("v"), "n", F.col("h.n").alias("m"), "light", "place",
-                                            F.col("h.place").alias("seat"), (F.col("small") & F.col("h.small")).alias("both_small"),
-                                            (F.col("label") == F.col("h.label")).alias("same"))
-            .where("u <> v and not same and (light or not both_small)").where(_ENOUGH).select("u", "v").distinct())
+                                     F.min(F.struct(order.alias("o"), *_MEMBER)).alias("h")).where("one <> other").select("list", "h")
+    return (rows.select("list", F.struct(*_MEMBER).alias("v")).join(named, "list").where("h.uid <> v.uid and h.label <> v.label").where(_may_link("h", "v"))
+            .select(F.col("h.uid").alias("u"), F.col("v.uid").alias("v")).distinct())
 
 
 def _all_pairs_left(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -256,13 +259,11 @@ def _all_pairs_left(members: DataFrame, labels: DataFrame) -> DataFrame:
     rows = _labelled(members, labels)
     sizes = rows.groupBy("list", "label").agg(F.count("*").alias("size"))
     main = sizes.groupBy("list").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
-    split = stage(rows.join(main, "list"), "split-lists")
-    few = split.where("label <> main").select("list", F.col("uid").alias("a"), "n", "place", F.col("label").alias("la"), F.col("small").alias("sa"))
-    others = split.select(F.col("list").alias("of"), F.col("uid").alias("b"), F.col("n").alias("m"), F.col("place").alias("seat"), F.col("label").alias("lb"),
-                          F.col("small").alias("sb"), "light", "main")
-    return (few.join(others, (F.col("list") == F.col("of")) & (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-                     & (F.col("light") | ~(F.col("sa") & F.col("sb"))) & F.expr(_ENOUGH))
-            .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+    split = stage(rows.join(main, "list").select("list", "main", F.struct(*_MEMBER).alias("a")), "split-lists")
+    others = split.select(F.col("list").alias("of"), F.col("a").alias("b"))
+    met = split.where("a.label <> main").join(others, (F.col("list") == F.col("of")) & (F.col("a.label") != F.col("b.label"))
+                                              & ((F.col("b.label") == F.col("main")) | (F.col("a.uid") < F.col("b.uid"))) & _may_link("a", "b"))
+    return met.select(F.least("a.uid", "b.uid").alias("u"), F.greatest("a.uid", "b.uid").alias("v")).distinct()
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -288,22 +289,19 @@ def similar_documents(docs: DataFrame, rounds: int = 2) -> DataFrame:
     drop_stage(survey)
     signed = stage(_signatures(docs, frequent, small), "signatures")
     classes = stage(signed.where("n > 0").groupBy("set", "n").agg(F.min("uid").alias("class")), "classes")
-    members = _list_members(signed, classes, small)
-    rows = stage(signed.select("doc_id", "k1", "k2", "uid", "n", "set"), "set-names")
-    drop_stage(signed)
-    sets = _sets(docs, rows, members)
+    members, sets, rows = _list_members(signed, classes, small), signed.select("uid", "s"), signed.select("doc_id", "k1", "k2", "uid", "n", "set")
     labels = stage(docs.sparkSession.createDataFrame([], "uid long, label long"), "labels")
     for step in range(rounds + 1):
         pairs = stage(_hub_pairs(members, labels, step) if step < rounds else _all_pairs_left(members, labels), "pairs")
         links = stage(_verified(pairs, sets), "links")
         drop_stage(pairs)
-        labels = _merged(labels, links)
+        labels = labels if links.isEmpty() else _merged(labels, links)
         drop_stage(links)
-    drop_stage(sets)
     drop_stage(members)
     of_class = classes.join(labels.select(F.col("uid").alias("class"), "label"), "class", "left").select(
         "set", "n", F.coalesce("label", "class").alias("label"))
     labelled = stage(rows.join(of_class, ["set", "n"], "left").select("doc_id", "k1", "k2", "uid", "n", F.coalesce("label", "uid").alias("label")), "labelled")
+    drop_stage(signed)
     named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return labelled.join(named, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "k1", "k2", "uid", "label")
 
