@@ -397,11 +397,24 @@ _add("pileup", f"""WITH {_PILE} SELECT sample, contig, pos0 // 500 AS stretch, r
     CAST(sum(ll0) AS BIGINT) AS ll0, CAST(sum(ll1) AS BIGINT) AS ll1, CAST(sum(ll2) AS BIGINT) AS ll2 FROM pile GROUP BY ALL""", "reads", "ref_blocks")
 _add("genotype_biallelic", f"""WITH {_CALLS} SELECT sample, substr(contig, 4) AS contig, pos0, ref, alt, n_ref, n_alt, ref_alleles,
     array_to_string(pls, ',') AS pl, gq FROM calls""", "reads", "ref_blocks")
-_add("call_variants", f"WITH {_CALLS} SELECT sample, contig, pos0, ref, alt, ref_alleles, gq FROM calls WHERE ref_alleles < 2", "reads", "ref_blocks")
+# Joint: one alternate for all samples, every sample with a base of either allele, sites where any has the alternate.
+_JOINT = f"""{_PILE},
+others AS (SELECT contig, pos0, ref_base, allele, row_number() OVER (PARTITION BY contig, pos0 ORDER BY sum(n) DESC, allele) AS r FROM pile WHERE allele <> ref_base GROUP BY contig, pos0, ref_base, allele),
+joined AS (SELECT p.sample, p.contig, p.pos0, p.ref_base AS ref, o.allele AS alt, coalesce(sum(p.n) FILTER (p.allele = p.ref_base), 0) AS n_ref, coalesce(sum(p.n) FILTER (p.allele = o.allele), 0) AS n_alt,
+    CAST(sum(ll0) AS BIGINT) AS l0, CAST(sum(ll1) AS BIGINT) AS l1, CAST(sum(ll2) AS BIGINT) AS l2
+    FROM pile p JOIN others o ON o.r = 1 AND p.contig = o.contig AND p.pos0 = o.pos0 AND (p.allele = p.ref_base OR p.allele = o.allele) GROUP BY p.sample, p.contig, p.pos0, p.ref_base, o.allele),
+scaled AS (SELECT *, greatest(l0, l1, l2) AS top FROM joined),
+phred AS (SELECT *, CASE WHEN l2 = top THEN 2 WHEN l1 = top THEN 1 ELSE 0 END AS ref_alleles,
+    [CAST(round((top - l0) * 10 / 1000000.0) AS INT), CAST(round((top - l1) * 10 / 1000000.0) AS INT), CAST(round((top - l2) * 10 / 1000000.0) AS INT)] AS pls FROM scaled),
+varied AS (SELECT DISTINCT contig, pos0 FROM phred WHERE ref_alleles < 2),
+calls AS (SELECT sample, contig, pos0, ref, alt, n_ref, n_alt, ref_alleles, pls, least(99, list_sort(pls)[2]) AS gq FROM phred JOIN varied USING (contig, pos0))"""
+_add("genotype_joint", f"""WITH {_JOINT} SELECT sample, contig, pos0, ref, alt, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_alt AS BIGINT) AS n_alt, ref_alleles,
+    array_to_string(pls, ',') AS pl, gq FROM calls""", "reads", "ref_blocks")
+_add("call_variants", f"WITH {_JOINT} SELECT sample, contig, pos0, ref, alt, ref_alleles, gq FROM calls", "reads", "ref_blocks")
 _SAMPLES = [f"S{i}" for i in range(8)]
 _CELLS = ", ".join(f"coalesce(max(cell) FILTER (sample = '{s}'), './.')" for s in _SAMPLES)
-_add("write_vcf", f"""WITH {_CALLS},
-cells AS (SELECT *, concat_ws(':', CASE ref_alleles WHEN 1 THEN '0/1' ELSE '1/1' END, CAST(gq AS VARCHAR), array_to_string(pls, ',')) AS cell FROM calls WHERE ref_alleles < 2)
+_add("write_vcf", f"""WITH {_JOINT},
+cells AS (SELECT *, concat_ws(':', CASE ref_alleles WHEN 2 THEN '0/0' WHEN 1 THEN '0/1' ELSE '1/1' END, CAST(gq AS VARCHAR), array_to_string(pls, ',')) AS cell FROM calls)
 SELECT concat_ws(chr(9), contig, CAST(pos0 + 1 AS VARCHAR), '.', ref, alt, '.', 'PASS', '.', 'GT:GQ:PL', {_CELLS}) AS line FROM cells GROUP BY contig, pos0, ref, alt
 UNION ALL SELECT concat_ws(chr(9), '#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', {", ".join(f"'{s}'" for s in _SAMPLES)})""",
      "reads", "ref_blocks")

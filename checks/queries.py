@@ -508,6 +508,12 @@ def genotype_biallelic(fx):
         "sample", "contig", "pos0", "ref", "alt", "n_ref", "n_alt", "ref_alleles", F.array_join("pl", ",").alias("pl"), "gq")
 
 
+@query
+def genotype_joint(fx):
+    return variants.genotype_joint(fx.reads, fx.ref_blocks, width=BLOCK).select(
+        "sample", "contig", "pos0", "ref", "alt", "n_ref", "n_alt", "ref_alleles", F.array_join("pl", ",").alias("pl"), "gq")
+
+
 @query
 def cnv_filter_matrix(fx):
     kept = cnv.cnv_filter_matrix(stage(_depth(fx), "target-depth"), **_DEPTHS)

@@ -12,7 +12,7 @@ from helixframe.operators.metrics import target_coverage
 from helixframe.operators.realign import realign_indels, realignment_targets
 from helixframe.operators.recal import apply_recalibration, recalibration_table
 from helixframe.operators.sorts import sort_coordinate
-from helixframe.operators.variants import genotype_biallelic, pileup
+from helixframe.operators.variants import genotype_joint
 from helixframe.runtime import stage
 
 
@@ -45,9 +45,8 @@ def preprocess_reads_with_known_indels(reads: DataFrame, ref_blocks: DataFrame,
 
 def call_variants(reads: DataFrame, ref_blocks: DataFrame, contig_style: str | None = None,
                   width: int = BLOCK_WIDTH) -> DataFrame:
-    """Genotypes of the samples that differ from the reference. Sort and save with ``write_vcf``."""
-    called = genotype_biallelic(pileup(aligned_reads(reads), ref_blocks, width=width), contig_style)
-    return called.where("ref_alleles < 2")
+    """Genotypes of all covered samples at the sites where one of them differs. Sort and save with ``write_vcf``."""
+    return genotype_joint(aligned_reads(reads), ref_blocks, contig_style, width=width)
 
 
 def call_cnvs(reads: DataFrame, targets: DataFrame, *, pca_factor: float = 0.7, max_sd: float = 30, p: float = 1e-8,

@@ -291,6 +291,22 @@ def test_coverage_keeps_zero_targets(spark):
     assert got == {("s", "x", 5), ("t", "x", 10), ("s", "y", 0), ("t", "y", 0)}
 
 
+def test_joint_genotypes_keep_samples_without_the_alternate(spark):
+    alt, third = [b for b in "ACGT" if b != REF[12]][:2]
+    read = lambda base: REF[8:12] + base + REF[13:18]
+    rows = [dict(read_name=f"a{i}", start0=8, sequence=read(alt if i % 2 else REF[12]), sample="het") for i in range(12)]
+    rows += [dict(read_name=f"b{i}", start0=8, sequence=read(REF[12]), sample="plain") for i in range(8)]
+    rows += [dict(read_name=f"c{i}", start0=8, sequence=read(third), sample="other") for i in range(3)]
+    rows += [dict(read_name="away", start0=25, sequence=REF[25:35], sample="away"), dict(read_name="dup", start0=8, sequence=read(third), flag=1024, sample="away")]
+    for width in (10, 11, 40):
+        found = {r["sample"]: r for r in variants.genotype_joint(reads_df(spark, rows), ref_df(spark, width=width), width=width).collect()}
+        assert set(found) == {"het", "plain"}  # one sample has another base only, one has no read there
+        assert [found[x].alleles for x in ("het", "plain")] == [[0, 1], [0, 0]] and found["plain"].alt == alt and found["plain"].n_ref == 8
+        assert (found["het"].n_ref, found["het"].n_alt, found["het"].pos0) == (6, 6, 12)
+    only = [r for r in rows if r["sample"] == "plain"]
+    assert variants.genotype_joint(reads_df(spark, only), ref_df(spark), width=10).count() == 0
+
+
 def test_realign_moves_reads_onto_the_deletion(spark):
     rng = random.Random(5)
     genome = "".join(rng.choice("ACGT") for _ in range(300))
