@@ -13,7 +13,9 @@ order puts shingles rare in the corpus first; it only makes lists short, any ord
 Most prefix shingles are on a list of their own. Which are not is told to the tasks by a bitmap of bounded size, so that lists of
 one member are never written. Two bounds leave out pairs that cannot link, before they are made: a pair that meets at places i and j of its
 prefixes shares no more than what follows there, or else it has met before on another list; and of two sets, the one whose prefix
-ends first in the common order shares none of its prefix shingles that no other prefix has.
+ends first in the common order shares none of its prefix shingles that no other prefix has. A third bound leaves out most other pairs before
+their sets are moved: each set has a sketch, a bitmap of about four bits a shingle, and a bit that only one of two sketches has
+stands for a shingle that only this set has. All bounds are exact; the rest is compared shingle by shingle.
 
 Lists are not expanded into pairs. Equal sets are one class from the start. In some rounds every list names a few hubs, the
 other members are compared with these, and classes that link become one component; then only members of different components
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,9 +103,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("k2"))
 
 
+def sketch_of(s: np.ndarray) -> bytes:
+    """Bitmap of the set's shingles by their last bits; a power of two of bits, four to eight for each shingle."""
+    bits = 32
+    while bits < 4 * len(s):
+        bits *= 2
+    out = np.zeros(bits, dtype=bool)
+    out[(s & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def most_shared(a: bytes, b: bytes, n: int, m: int) -> int:
+    """No fewer shingles than sets of ``n`` and ``m`` with these sketches share."""
+    x, y = (np.frombuffer(v, dtype=np.uint8) for v in (a, b))
+    while len(x) != len(y):  # the longer one is folded: its halves are the same bits but one
+        x, y = (x[:len(x) // 2] | x[len(x) // 2:], y) if len(x) > len(y) else (x, y[:len(y) // 2] | y[len(y) // 2:])
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+
+
 def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
     """doc_id, k1, k2, n, set (128 bits), lists (shingles of inverted lists, in the common order), subsets (keys of subsets of two),
-    end (rank and shingle of the last one on lists, as numbers in order), s (all shingles), uid."""
+    end (rank and shingle of the last one on lists, as numbers in order), sketch, uid."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         known, rank = frequent.value
@@ -119,62 +140,67 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                 k = n - need(n) + 2
                 places = np.argsort(order, kind="stable")[:k]
                 first, last = s[places], places[max(0, k - 2)]
-                subsets = None
+                subsets = b""
                 if 2 <= n <= small:
                     a, b = np.triu_indices(len(first), 1)
-                    subsets = np.unique(mixed(np.minimum(first[a], first[b]) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(first[a], first[b])) | np.uint64(1)).view("int64")
+                    subsets = np.unique(mixed(np.minimum(first[a], first[b]) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(first[a], first[b])) | np.uint64(1)).tobytes()
                 whole = mixed(s + np.uint64(1)).sum(dtype="uint64"), mixed(s ^ np.uint64(0x5BD1E995)).sum(dtype="uint64")
                 # the last bit tells lists of shingles from subsets; two shingles that share a list by this cost a comparison more
-                lists = (first[:max(1, k - 1)] & ~np.uint64(1)).view("int64")
-                rows.append((doc_id, k1, k2, n, np.array(whole).tobytes(), lists, subsets, int(order[last]), int(s[last]) - (1 << 63), s.tobytes()))
-            frame = pd.DataFrame(rows, columns=["doc_id", "k1", "k2", "n", "set", "lists", "subsets", "end_rank", "end", "s"])
+                lists = (first[:max(1, k - 1)] & ~np.uint64(1)).tobytes()
+                rows.append((doc_id, k1, k2, n, np.array(whole).tobytes(), lists, subsets, int(order[last]), int(s[last]) - (1 << 63), sketch_of(s)))
+            frame = pd.DataFrame(rows, columns=["doc_id", "k1", "k2", "n", "set", "lists", "subsets", "end_rank", "end", "sketch"])
             yield frame.astype({"end_rank": "Int64", "end": "Int64"})
 
     rows = _keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long").cast("string"))
-    signed = rows.mapInPandas(sign, "doc_id string, k1 long, k2 long, n int, set binary, lists array<long>, subsets array<long>, "
-                               "end_rank long, end long, s binary")
+    signed = rows.mapInPandas(sign, "doc_id string, k1 long, k2 long, n int, set binary, lists binary, subsets binary, "
+                               "end_rank long, end long, sketch binary")
     return signed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("uid", F.monotonically_increasing_id())
 
 
-def _on_shared(bitmap):
-    """The entries of a list column whose bit is set, each with its place in the column."""
-    @F.pandas_udf("array<struct<list:long,place:int>>")
-    def shared(lists: pd.Series) -> pd.Series:
-        bits = bitmap.value
-        out = []
-        for own in lists:
-            if own is None:
-                out.append([])
-                continue
-            own = np.asarray(own, dtype=np.int64)
-            at = np.flatnonzero(is_set(bits, own))
-            out.append([{"list": a, "place": b} for a, b in zip(own[at].tolist(), at.tolist())])
-        return pd.Series(out)
-
-    return shared.asNondeterministic()
+def _entries(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All numbers of a binary column, the row each is from, and its place there."""
+    texts = batch.column(column).to_pylist()
+    sizes = np.array([len(t) // 8 for t in texts], dtype=np.int64)
+    rows = np.repeat(np.arange(len(texts)), sizes)
+    places = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.frombuffer(b"".join(texts), dtype=np.int64), rows, places
 
 
 def _list_members(signed: DataFrame, classes: DataFrame, small: int) -> DataFrame:
-    """list, light, place, uid, n, on, small, lone, end_rank, end: the entries of all lists that compare anything, of one row of each class.
+    """list, place, uid, n, on, lone, end_rank, end, small, light: the entries of all lists that compare anything, of one row of each class.
 
-    ``lone`` counts the set's prefix shingles that are in no other prefix (at least; a bit set by error hides some).
+    ``on`` counts the lists the set shares, ``lone`` its prefix shingles that are in no other prefix (at least; a bit set by error hides some).
     """
     spark = signed.sparkSession
     firsts = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi").select("uid", "n", "lists", "subsets", "end_rank", "end")
-    firsts = stage(firsts, "firsts")
-    both = F.concat("lists", F.coalesce("subsets", F.array().cast("array<long>")))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for column in ("lists", "subsets"):
+                numbers, rows, _ = _entries(batch, column)
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(batch.column("n").to_numpy()[rows])], ["list", "n"])
+
+    shared = stage(firsts.select("n", "lists", "subsets").mapInArrow(listed, "list long, n int").groupBy("list")
+                   .agg(F.count("*").alias("size"), F.max("n").alias("longest")).where("size > 1"), "shared-lists")
+    bitmap = spark.sparkContext.broadcast(bitmap_of(shared.select(F.col("list").alias("key"))))
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (lists, row, place), (subsets, row2, place2) = _entries(batch, "lists"), _entries(batch, "subsets")
+            here, here2 = is_set(bitmap.value, lists), is_set(bitmap.value, subsets)
+            lone = np.bincount(row[~here], minlength=batch.num_rows)
+            on = np.bincount(row[here], minlength=batch.num_rows) + np.bincount(row2[here2], minlength=batch.num_rows)
+            rows = np.concatenate([row[here], row2[here2]])
+            of = lambda c: batch.column(c).to_numpy()[rows]
+            columns = {"list": np.concatenate([lists[here], subsets[here2]]), "place": np.concatenate([place[here], place2[here2]]).astype(np.int32),
+                       "uid": of("uid"), "n": of("n"), "on": on[rows].astype(np.int32), "lone": lone[rows].astype(np.int32), "end_rank": of("end_rank"), "end": of("end")}
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], list(columns))
+
     light = F.col("list").bitwiseAND(1) == 1
-    shared = stage(firsts.select("n", F.explode(both).alias("list")).groupBy("list").agg(F.count("*").alias("size"), F.max("n").alias("longest"))
-                   .where("size > 1"), "shared-lists")
-    filtered = _on_shared(spark.sparkContext.broadcast(bitmap_of(shared.select(F.col("list").alias("key")))))
-    marked = firsts.select("uid", "n", F.size("lists").alias("listed"), filtered("lists").alias("l"), filtered("subsets").alias("s"), "end_rank", "end")
-    entries = marked.select("uid", "n", (F.col("listed") - F.size("l")).alias("lone"), (F.size("l") + F.size("s")).alias("on"), "end_rank", "end",
-                            F.explode(F.concat("l", "s")).alias("e"))
-    passed = entries.select("e.list", "e.place", "uid", "n", "on", "lone", "end_rank", "end", F.expr(f"n between 2 and {small}").alias("small")).withColumn("light", light)
+    passed = firsts.mapInArrow(entries, "list long, place int, uid long, n int, on int, lone int, end_rank long, end long")
     # a list with small members only that meet by their subsets compares nothing
     compared = shared.where(light | (F.col("longest") > small) | (F.col("longest") < 2)).select("list")
-    members = stage(passed.join(compared, "list", "left_semi"), "list-members")
-    drop_stage(firsts)
+    members = stage(passed.join(compared, "list", "left_semi").withColumns({"small": F.expr(f"n between 2 and {small}"), "light": light}), "list-members")
     drop_stage(shared)
     return members
 
@@ -214,12 +240,52 @@ def _shared_shingles():
     return shared.asNondeterministic()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v of the pairs whose sets are similar enough. Only sets of a pair are moved."""
-    side = lambda name, of: sets.join(pairs.select(F.col(name).alias("uid")).distinct(), "uid", "left_semi").select(F.col("uid").alias(name), F.col("s").alias(of))
-    a, b = side("u", "su"), side("v", "sv")
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", F.expr("(length(su) + length(sv)) div 8").alias("n"), _shared_shingles()("su", "sv").alias("both"))
-    return both.where(100 * F.col("both") >= PERCENT * (F.col("n") - F.col("both"))).select("u", "v")
+def _most_shared():
+    @F.pandas_udf("long")
+    def most(a: pd.Series, b: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([most_shared(*x) for x in zip(a, b, n, m)], dtype="int64")
+
+    return most.asNondeterministic()
+
+
+def _with_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (u, v) with that column of both, and their sizes. Only what a pair names is moved."""
+    for name in ("u", "v"):
+        wanted = pairs.select(F.col(name).alias("uid")).distinct()
+        side = sets.join(wanted, "uid", "left_semi").select(F.col("uid").alias(name), F.col(column).alias(f"{column}_{name}"), F.col("n").alias(f"n_{name}"))
+        pairs = pairs.join(side, name)
+    return pairs
+
+
+def _sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """uid, n, s: sorted shingles of the sets in ``pairs``, made from the texts anew."""
+    named = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).select(F.col("u").alias("uid")).distinct()
+    wanted = stage(signed.select("uid", "n", "k1", "k2").join(named, "uid", "left_semi"), "wanted-sets")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(F.col("k1").alias("key"))))
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = WordHashes()
+        for batch in batches:
+            mine = batch[is_set(bitmap.value, batch["k1"].to_numpy(np.int64))]
+            yield pd.DataFrame({"k1": mine["k1"], "k2": mine["k2"], "s": [words.shingles(t).tobytes() for t in mine["text"]]})
+
+    made = _keyed(docs).select("k1", "k2", "text").mapInPandas(shingles, "k1 long, k2 long, s binary")
+    return stage(made.join(wanted, ["k1", "k2"]).select("uid", "n", "s"), "sets")
+
+
+def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """u, v of the pairs whose sets are similar enough: by their sketches first, then shingle by shingle."""
+    def enough(shared):
+        return (100 + PERCENT) * shared >= PERCENT * (F.col("n_u") + F.col("n_v"))
+
+    sketched = _with_sides(pairs, signed, "sketch").withColumn("most", _most_shared()("sketch_u", "sketch_v", "n_u", "n_v"))
+    near = stage(sketched.where(enough(F.col("most"))).select("u", "v"), "near-pairs")
+    if near.isEmpty():
+        return near
+    sets = _sets(docs, signed, near)
+    links = stage(_with_sides(near, sets, "s").withColumn("both", _shared_shingles()("s_u", "s_v")).where(enough(F.col("both"))).select("u", "v").distinct(), "links")
+    drop_stage(sets)
+    return links
 
 
 def _may_link(a: str, b: str):
@@ -289,11 +355,11 @@ def similar_documents(docs: DataFrame, rounds: int = 2) -> DataFrame:
     drop_stage(survey)
     signed = stage(_signatures(docs, frequent, small), "signatures")
     classes = stage(signed.where("n > 0").groupBy("set", "n").agg(F.min("uid").alias("class")), "classes")
-    members, sets, rows = _list_members(signed, classes, small), signed.select("uid", "s"), signed.select("doc_id", "k1", "k2", "uid", "n", "set")
+    members, rows = _list_members(signed, classes, small), signed.select("doc_id", "k1", "k2", "uid", "n", "set")
     labels = stage(docs.sparkSession.createDataFrame([], "uid long, label long"), "labels")
     for step in range(rounds + 1):
         pairs = stage(_hub_pairs(members, labels, step) if step < rounds else _all_pairs_left(members, labels), "pairs")
-        links = stage(_verified(pairs, sets), "links")
+        links = _verified(pairs, signed, docs)
         drop_stage(pairs)
         labels = labels if links.isEmpty() else _merged(labels, links)
         drop_stage(links)

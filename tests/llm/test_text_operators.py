@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,17 @@ def test_jaccard_of_a_long_list_that_does_not_link(spark):
     assert in_order(found) == in_order(expected) and 10 < sum(c != i for i, _, c in expected)
 
 
+def test_sketches_never_hide_a_shared_shingle():
+    rng = np.random.default_rng(3)
+    for n, m, both in [(1, 1, 1), (1, 1, 0), (40, 45, 40), (300, 700, 120), (1000, 1100, 950), (900, 1100, 0)]:
+        pool = np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64))[:n + m - both]
+        rng.shuffle(pool)
+        a, b = np.sort(pool[:n]), np.sort(pool[n - both:n - both + m])
+        most = jaccard.most_shared(jaccard.sketch_of(a), jaccard.sketch_of(b), n, m)
+        assert both <= most <= min(n, m) and most == jaccard.most_shared(jaccard.sketch_of(b), jaccard.sketch_of(a), m, n)
+        assert n < 900 or both or most < 0.5 * n  # unlike sets are told apart
+
+
 def test_jaccard_keeps_one(docs, rows):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
