@@ -150,7 +150,8 @@ _add("adapter_trim", f"WITH {_TRIM} SELECT * FROM trimmed", "fragments")
 _add("revert_reads", f"""WITH raw AS (SELECT read_name AS name, flag & 128 = 128 AS second,
     CASE WHEN flag & 16 = 16 THEN reverse(translate(sequence, 'ACGT', 'TGCA')) ELSE sequence END AS s,
     CASE WHEN flag & 16 = 16 THEN reverse(qualities) ELSE qualities END AS q FROM alignments WHERE flag & 2304 = 0)
-SELECT a.name, a.s AS seq1, a.q AS qual1, b.s AS seq2, b.q AS qual2 FROM raw a JOIN raw b ON a.name = b.name AND NOT a.second AND b.second""", *_ALN)
+SELECT name, max(s) FILTER (NOT second) AS seq1, max(q) FILTER (NOT second) AS qual1, max(s) FILTER (second) AS seq2, max(q) FILTER (second) AS qual2
+FROM raw GROUP BY name""", *_ALN)
 
 # ---- sorts ---------------------------------------------------------------------------------------------------
 
@@ -173,9 +174,11 @@ _add("known_site_mask", f"""WITH {_ops("reads")}, {_BASES}
 SELECT contig, pos0 // 100 AS stretch, count(*) AS bases, count(*) FILTER (base <> ref_base) AS mismatches
 FROM bases b WHERE NOT EXISTS (SELECT 1 FROM known_sites s WHERE s.contig = b.contig AND s.start0 = b.pos0) GROUP BY ALL""",
      "reads", "ref_blocks", "known_sites")
-_add("reads_in_targets", f"""WITH pairs AS (SELECT {", ".join("r." + c for c in _KEY.split(", "))}, t.start0 AS s, t.end0 AS e,
+_add("reads_in_targets", f"""WITH rb AS (SELECT *, unnest(range(start0 // 256, (end0 - 1) // 256 + 1)) AS bin FROM reads WHERE flag & 4 = 0),
+tb AS (SELECT *, unnest(range(start0 // 256, (end0 - 1) // 256 + 1)) AS bin FROM targets),
+pairs AS (SELECT {", ".join("r." + c for c in _KEY.split(", "))}, t.start0 AS s, t.end0 AS e,
     row_number() OVER (PARTITION BY r.read_name, r.flag ORDER BY least(r.end0, t.end0) - greatest(r.start0, t.start0) DESC, t.start0, t.end0) AS n
-    FROM reads r JOIN targets t ON r.contig = t.contig AND r.start0 < t.end0 AND t.start0 < r.end0)
+    FROM rb r JOIN tb t ON r.contig = t.contig AND r.bin = t.bin AND r.start0 < t.end0 AND t.start0 < r.end0 AND r.bin = greatest(r.start0, t.start0) // 256)
 SELECT r.read_name, r.flag, p.s AS target_start0, p.e AS target_end0
 FROM reads r LEFT JOIN pairs p ON p.read_name = r.read_name AND p.flag = r.flag AND p.n = 1""", "reads", "targets")
 _add("project_to_transcripts", f"""WITH {_ops("alignments")},
@@ -191,8 +194,9 @@ whole AS (SELECT {_KEY}, transcript, strand, size, min(spot) AS a, CAST(sum(b1 -
 SELECT read_name, flag, start0, cigar, transcript, CASE WHEN strand = '+' THEN a ELSE size - a - span END AS tx_start0,
        CASE WHEN strand = '+' THEN a + span ELSE size - a END AS tx_end0, (flag & 16 = 16) = (strand = '+') AS antisense FROM whole""",
      *_ALN, "exons")
-_add("mate_join", """SELECT a.read_name, a.start0 AS start_1, b.start0 AS start_2, a.flag AS flag_1, b.flag AS flag_2, true AS mated
-FROM alignments a JOIN alignments b ON a.read_name = b.read_name AND a.flag & 2304 = 0 AND b.flag & 2304 = 0 AND a.flag & 64 = 64 AND b.flag & 128 = 128""", *_ALN)
+_add("mate_join", """SELECT read_name, max(start0) FILTER (flag & 64 = 64) AS start_1, max(start0) FILTER (flag & 128 = 128) AS start_2,
+    max(flag) FILTER (flag & 64 = 64) AS flag_1, max(flag) FILTER (flag & 128 = 128) AS flag_2, true AS mated
+FROM alignments WHERE flag & 2304 = 0 GROUP BY read_name HAVING count(*) FILTER (flag & 64 = 64) = 1 AND count(*) FILTER (flag & 128 = 128) = 1""", *_ALN)
 _add("union_known_sites", """SELECT contig, start0, end0 FROM known_sites UNION SELECT contig, start0, end0 FROM known_indels""",
      "known_sites", "known_indels")
 _add("union_samples", f"SELECT CASE WHEN flag & 64 = 64 THEN 'first' ELSE 'second' END AS sample, {_KEY} FROM reads", "reads")
@@ -383,12 +387,13 @@ def _term(g: int) -> str:
 
 
 _PILE = f"""{_ops("reads")}, {_BASES},
-pile AS (SELECT sample, contig, pos0, ref_base, base AS allele, count(*) AS n, {_term(0)}, {_term(1)}, {_term(2)} FROM bases GROUP BY ALL)"""
+pile AS MATERIALIZED (SELECT sample, contig, pos0, ref_base, base AS allele, count(*) AS n, {_term(0)}, {_term(1)}, {_term(2)} FROM bases GROUP BY ALL)"""
 _CALLS = f"""{_PILE},
-alts AS (SELECT *, row_number() OVER (PARTITION BY sample, contig, pos0 ORDER BY n DESC, allele) AS r FROM pile WHERE allele <> ref_base),
-joined AS (SELECT a.sample, a.contig, a.pos0, a.ref_base AS ref, a.allele AS alt, coalesce(r.n, 0) AS n_ref, a.n AS n_alt,
-    a.ll0 + coalesce(r.ll0, 0) AS l0, a.ll1 + coalesce(r.ll1, 0) AS l1, a.ll2 + coalesce(r.ll2, 0) AS l2
-    FROM alts a LEFT JOIN pile r ON r.sample = a.sample AND r.contig = a.contig AND r.pos0 = a.pos0 AND r.allele = r.ref_base WHERE a.r = 1),
+alts AS MATERIALIZED (SELECT sample, contig, pos0, allele AS alt, row_number() OVER (PARTITION BY sample, contig, pos0 ORDER BY n DESC, allele) AS r FROM pile WHERE allele <> ref_base),
+joined AS (SELECT p.sample, p.contig, p.pos0, p.ref_base AS ref, a.alt, coalesce(sum(p.n) FILTER (p.allele = p.ref_base), 0)::BIGINT AS n_ref,
+    coalesce(sum(p.n) FILTER (p.allele = a.alt), 0)::BIGINT AS n_alt, CAST(sum(ll0) AS BIGINT) AS l0, CAST(sum(ll1) AS BIGINT) AS l1, CAST(sum(ll2) AS BIGINT) AS l2
+    FROM pile p JOIN alts a ON a.r = 1 AND p.sample = a.sample AND p.contig = a.contig AND p.pos0 = a.pos0 AND (p.allele = p.ref_base OR p.allele = a.alt)
+    GROUP BY p.sample, p.contig, p.pos0, p.ref_base, a.alt),
 scaled AS (SELECT *, greatest(l0, l1, l2) AS top FROM joined),
 phred AS (SELECT *, CASE WHEN l2 = top THEN 2 WHEN l1 = top THEN 1 ELSE 0 END AS ref_alleles,
     [CAST(round((top - l0) * 10 / 1000000.0) AS INT), CAST(round((top - l1) * 10 / 1000000.0) AS INT), CAST(round((top - l2) * 10 / 1000000.0) AS INT)] AS pls FROM scaled),
@@ -465,8 +470,10 @@ _add("align_seed_vote", f"WITH {_hits('fragments')} SELECT * FROM hits", "fragme
 _add("align_reads", f"""WITH {_TRIM}, {_hits('trimmed')},
 sides AS (SELECT *, length(s) AS size FROM (SELECT name, 1 AS mate, seq1 AS s, qual1 AS q FROM trimmed UNION ALL SELECT name, 2, seq2, qual2 FROM trimmed)),
 joined AS (SELECT d.*, h.contig, h.start0, h.strand, h.mapq FROM sides d LEFT JOIN hits h ON h.name = d.name AND h.mate = d.mate),
-faces AS (SELECT a.*, b.contig AS oc, b.start0 AS os, b.strand AS od, b.size AS oz FROM joined a JOIN joined b ON a.name = b.name AND a.mate <> b.mate),
-flags AS (SELECT *, contig = oc AND strand <> od AND greatest(start0 + size, os + oz) - least(start0, os) <= 1000 AS proper FROM faces)
+faces AS (SELECT *, lead(contig, 1) OVER w AS c2, lag(contig, 1) OVER w AS c1, lead(start0, 1) OVER w AS s2, lag(start0, 1) OVER w AS s1, lead(strand, 1) OVER w AS d2, lag(strand, 1) OVER w AS d1,
+    lead(size, 1) OVER w AS z2, lag(size, 1) OVER w AS z1 FROM joined WINDOW w AS (PARTITION BY name ORDER BY mate)),
+opposite AS (SELECT *, CASE WHEN mate = 1 THEN c2 ELSE c1 END AS oc, CASE WHEN mate = 1 THEN s2 ELSE s1 END AS os, CASE WHEN mate = 1 THEN d2 ELSE d1 END AS od, CASE WHEN mate = 1 THEN z2 ELSE z1 END AS oz FROM faces),
+flags AS (SELECT *, contig = oc AND strand <> od AND greatest(start0 + size, os + oz) - least(start0, os) <= 1000 AS proper FROM opposite)
 SELECT name AS read_name, CAST(1 + CASE WHEN mate = 1 THEN 64 ELSE 128 END + CASE WHEN proper THEN 2 ELSE 0 END + CASE WHEN contig IS NULL THEN 4 ELSE 0 END
     + CASE WHEN oc IS NULL THEN 8 ELSE 0 END + CASE WHEN strand = '-' THEN 16 ELSE 0 END + CASE WHEN od = '-' THEN 32 ELSE 0 END AS INT) AS flag,
     contig, start0, CASE WHEN contig IS NULL THEN '*' ELSE concat(CAST(size AS VARCHAR), 'M') END AS cigar, coalesce(mapq, 0) AS mapq,
