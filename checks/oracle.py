@@ -493,3 +493,22 @@ _add("phred_functions", """SELECT read_name, flag, qualities AS encoded,
 _add("reverse_complement", "SELECT read_name, flag, reverse(translate(sequence, 'ACGT', 'TGCA')) AS rc FROM reads", "reads")
 _add("sam_flag_is", """SELECT read_name, flag, flag & 2 = 2 AS proper_pair, flag & 16 = 16 AS reverse, flag & 64 = 64 AS first_in_pair FROM reads""", "reads")
 _add("contig_style", "SELECT read_name, flag, substr(contig, 4) AS grc, contig AS ucsc FROM reads", "reads")
+
+
+# ---- chains from files to files, comparisons -----------------------------------------------------------------
+
+ORACLE["sam_folder_round_trip"] = ORACLE["scan_sam"]
+ORACLE["align_files"] = ORACLE["align_reads"]
+ORACLE["call_variants_files"] = ORACLE["write_vcf"]
+ORACLE["preprocess_files_with_known_indels"] = ORACLE["preprocess_reads_with_known_indels"]
+
+
+def _tally(**variants: tuple[str, str]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{name}' AS variant, count(*) AS n_rows, CAST(coalesce(sum({value}), 0) AS BIGINT) AS total FROM ({ORACLE[query]}) {name}_rows"
+                               for name, (query, value) in variants.items())
+
+
+ORACLE["bench_sort"] = _tally(coordinate=("sort_coordinate", "rank * (flag + 1)"), queryname=("sort_queryname", "rank * (flag + 1)"))
+ORACLE["bench_duplicates"] = _tally(mark=("mark_duplicates", "flag"), remove=("remove_duplicates", "flag"), by_name=("mark_duplicates_by_name", "flag"))
+ORACLE["bench_recalibration"] = _tally(table=("recalibration_table", "observations"), apply=("apply_recalibration", "ascii(substr(qualities, 5, 1))"))
+ORACLE["bench_realignment"] = _tally(targets=("realignment_targets", "end0 - start0"), gains=("realign_gains", "gain"), realign=("realign_indels", "end0"))

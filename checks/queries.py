@@ -14,6 +14,7 @@ from helixframe.sources import fasta, fastq, features, manifest, sam, vcf
 from helixframe.sources.stringency import stringency
 
 QUERIES: dict = {}
+QUERY_OF: dict = {}
 _READ = ["read_name", "flag", "contig", "start0", "end0", "mapq", "cigar", "mate_contig", "mate_start0", "tlen",
          "sequence", "qualities", "read_group", "library", "sample"]
 _LOCUS = ["read_name", "flag", "contig", "start0", "cigar"]
@@ -23,6 +24,7 @@ _DEPTHS = dict(min_target_depth=0.05, min_sample_depth=0.01)
 
 
 def query(make):
+    QUERY_OF[make.__name__] = make
     QUERIES[make.__name__] = lambda spark, sf_dir: make(Fixture(spark, sf_dir))
     return make
 
@@ -613,3 +615,104 @@ def preprocess_reads_with_known_indels(fx):
     return plans.preprocess_reads_with_known_indels(
         fx.reads, fx.ref_blocks, fx.contigs, fx.known_indels, fx.known_indels, fx.known_sites, width=BLOCK).select(
         "read_name", "flag", "qualities")
+
+
+# ---- chains from files to files ------------------------------------------------------------------------------
+
+_RG1 = _RG.split("\\n")[0]
+
+
+def _sam_path(fx: Fixture, reads: DataFrame) -> str:
+    """Reads as a folder of several SAM parts, header in the first one."""
+    path = scratch_path(fx.spark, "input") + ".sam"
+    sinks.write_sam(reads, fx.contigs, path)
+    return path
+
+
+@query
+def sam_folder_round_trip(fx):
+    return sam.scan_sam(fx.spark, _sam_path(fx, fx.reads)).select(*_READ)
+
+
+@query
+def align_files(fx):
+    def side(i):
+        text = F.concat_ws("\n", F.concat(F.lit("@"), F.col("name"), F.lit(f"/{i}")), f"seq{i}", F.lit("+"), f"qual{i}")
+        return _write_lines(fx, fx.fragments.select(text.alias("value"), "name").orderBy("name").select("value"), "fastq")
+
+    out = scratch_path(fx.spark, "aligned") + ".sam"
+    plans.align_files(fx.spark, side(1), _fasta_path(fx), out, side(2), _RG1, fwd=ADAPTER_FWD, rev=ADAPTER_REV, k=12, stride=6, max_freq=16, width=BLOCK)
+    return sam.scan_sam(fx.spark, out).select(*_LOCUS, "mapq", "sequence", "qualities", "read_group", "sample")
+
+
+@query
+def call_variants_files(fx):
+    out = scratch_path(fx.spark, "called") + ".vcf"
+    plans.call_variants_files(fx.spark, _sam_path(fx, fx.reads), _fasta_path(fx), out, width=BLOCK)
+    return fx.spark.read.text(out).where(~F.col("value").startswith("##")).withColumnRenamed("value", "line")
+
+
+@query
+def call_cnvs_files(fx):
+    """One SAM folder a sample, a manifest that names them, targets as BED; the calls read back from cnvs.gff."""
+    root = scratch_path(fx.spark, "cohort")
+    names = [r[0] for r in fx.reads.select("sample").distinct().collect()]
+    for name in names:
+        sinks.write_sam(fx.reads.where(F.col("sample") == name), fx.contigs, f"{root}/{name}.sam")
+    listing = _write_lines(fx, fx.spark.createDataFrame([(f"file://{root.removeprefix('file://')}/{n}.sam",) for n in names], "value string"), "manifest")
+    bed = _write_lines(fx, fx.targets.select(_tabbed(*_FEATURE)), "targets", ".bed")
+    out = plans.call_cnvs_files(fx.spark, listing, bed, root, schemes=("file",), p=1e-3, **_DEPTHS)
+    return features.scan_gff3(fx.spark, out).select("contig", "start0", "end0", "type", F.col("attributes")["sample"].alias("sample"))
+
+
+def _vcf_path(fx: Fixture, variants: DataFrame) -> str:
+    return _write_lines(fx, variants.select(_tabbed("contig", (F.col("start0") + 1).cast("string"), "id", "ref", "alt", F.lit("50"), F.lit("PASS"), F.lit("."))), "sites", ".vcf")
+
+
+@query
+def preprocess_files(fx):
+    out = scratch_path(fx.spark, "preprocessed") + ".sam"
+    plans.preprocess_files(fx.spark, _sam_path(fx, fx.reads), _fasta_path(fx), out, _vcf_path(fx, fx.known_sites), width=BLOCK)
+    return sam.scan_sam(fx.spark, out).select(*_LOCUS, "qualities")
+
+
+@query
+def preprocess_files_with_known_indels(fx):
+    """With realignment at the known indels; no candidate of these tables passes the default threshold, so reads stay where they are."""
+    out, indels = scratch_path(fx.spark, "preprocessed") + ".sam", _vcf_path(fx, fx.known_indels)
+    plans.preprocess_files_with_known_indels(fx.spark, _sam_path(fx, fx.reads), _fasta_path(fx), out, indels, indels, _vcf_path(fx, fx.known_sites), width=BLOCK)
+    return sam.scan_sam(fx.spark, out).select("read_name", "flag", "qualities")
+
+
+# ---- comparisons of variants of one operator on the same reads ----------------------------------------------
+
+def _tally(**variants: DataFrame) -> DataFrame:
+    """One row a variant: rows and a sum over what it gives."""
+    parts = [df.agg(F.lit(name).alias("variant"), F.count("*").alias("n_rows"), F.coalesce(F.sum(df.columns[0]), F.lit(0)).cast("bigint").alias("total")) for name, df in variants.items()]
+    out = parts[0]
+    for other in parts[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+@query
+def bench_sort(fx):
+    weighed = lambda df: df.select((F.col("rank") * (F.col("flag") + 1)).alias("x"))
+    return _tally(coordinate=weighed(QUERY_OF["sort_coordinate"](fx)), queryname=weighed(QUERY_OF["sort_queryname"](fx)))
+
+
+@query
+def bench_duplicates(fx):
+    marked = lambda name: QUERY_OF[name](fx).select("flag")
+    return _tally(mark=marked("mark_duplicates"), remove=marked("remove_duplicates"), by_name=marked("mark_duplicates_by_name"))
+
+
+@query
+def bench_recalibration(fx):
+    return _tally(table=recalibration_table(fx).select("observations"), apply=apply_recalibration(fx).select(F.ascii(F.col("qualities").substr(5, 1)).alias("q")))
+
+
+@query
+def bench_realignment(fx):
+    return _tally(targets=realignment_targets(fx).select((F.col("end0") - F.col("start0")).alias("w")), gains=realign_gains(fx).select("gain"),
+                  realign=realign_indels(fx).select("end0"))
