@@ -8,7 +8,7 @@ ceil(PERCENT % of the larger) shingles, so, in any order common to all sets, the
   the large ones to find.
 
 The boundary between small and large is where the subsets begin to cost more than the lists, as measured on the corpus. The
-order puts shingles rare in the corpus first; it only makes lists short, any order is right.
+order puts shingles rare in the corpus first, by a table of counts of fixed size; it only makes lists short, any order is right.
 
 Most prefix shingles are on a list of their own. Which are not is told to the tasks by a bitmap of bounded size, so that lists of
 one member are never written. Two bounds leave out pairs that cannot link, before they are made: a pair that meets at places i and j of its
@@ -42,9 +42,10 @@ from helixframe.llm.words import WordHashes, mixed
 from helixframe.runtime import drop_stage, lookup_join, stage
 
 PERCENT = 80
-#: Shingles counted together in a task; frequent shingles the order knows (others count as rare); largest small set considered.
-CHUNK = 2_000_000
-FREQUENT = 200_000
+#: Shingles counted together in a task; slots of the table of counts that the order goes by, and those of a piece of it; largest small set considered.
+CHUNK = 1_000_000
+SLOTS = 1 << 24
+_PIECE = 1 << 15
 LARGEST_SMALL = 64
 #: Rows up to which keys are broadcast.
 BROADCAST = 200_000
@@ -88,6 +89,30 @@ def _surveyed(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(survey, "h long, c long, n long, scan long, pairs long")
 
 
+def slots_of(s: np.ndarray) -> np.ndarray:
+    return ((s >> np.uint64(24)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _levels(counted: DataFrame) -> np.ndarray:
+    """One byte for each slot: 0, or one more than the logarithm of how often its shingles (h, c) were counted.
+
+    A slot is shared by a few shingles of a large corpus, which then seem more frequent than they are. That only changes the order.
+    """
+    slot = F.shiftrightunsigned("h", 24).bitwiseAND(SLOTS - 1)
+    pieces = counted.groupBy(slot.alias("slot")).agg(F.sum("c").alias("c")).select(
+        (F.col("slot") / _PIECE).cast("int").alias("piece"), (F.col("slot") % _PIECE).cast("int").alias("at"), (1 + F.floor(F.log2("c"))).cast("int").alias("level"))
+
+    def table(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(_PIECE, dtype=np.uint8)
+        out[rows["at"].to_numpy()] = rows["level"].to_numpy()
+        return pd.DataFrame({"piece": [key[0]], "levels": [out.tobytes()]})
+
+    levels = np.zeros(SLOTS, dtype=np.uint8)
+    for r in pieces.groupBy("piece").applyInPandas(table, "piece int, levels binary").toLocalIterator():  # SLOTS bytes
+        levels[r["piece"] * _PIECE:(r["piece"] + 1) * _PIECE] = np.frombuffer(r["levels"], dtype=np.uint8)
+    return levels
+
+
 def boundary(costs: list[tuple[int, int, int]]) -> int:
     """Size up to which sets are small: where enumerating them and scanning for the rest is cheapest. ``costs``: n, scan, pairs."""
     best, at, total = 0, 0, 0
@@ -121,12 +146,11 @@ def most_shared(a: bytes, b: bytes, n: int, m: int) -> int:
     return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
-def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
+def _signatures(docs: DataFrame, levels, small: int) -> DataFrame:
     """doc_id, k1, k2, n, set (128 bits), lists (shingles of inverted lists, in the common order), subsets (keys of subsets of two),
     end (rank and shingle of the last one on lists, as numbers in order), sketch, uid."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
-        known, rank = frequent.value
         for batch in batches:
             rows = []
             for doc_id, k1, k2, text in zip(batch["doc_id"], batch["k1"], batch["k2"], batch["text"]):
@@ -135,8 +159,7 @@ def _signatures(docs: DataFrame, frequent, small: int) -> DataFrame:
                 if not n:
                     rows.append((doc_id, k1, k2, 0, None, None, None, None, None, None))
                     continue
-                at = np.minimum(np.searchsorted(known, s), max(0, len(known) - 1))
-                order = np.where(known[at] == s, rank[at], 0) if len(known) else np.zeros(n, dtype="int64")
+                order = levels.value[slots_of(s)]
                 k = n - need(n) + 2
                 places = np.argsort(order, kind="stable")[:k]
                 first, last = s[places], places[max(0, k - 2)]
@@ -342,18 +365,15 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
                  .unionByName(joined.select(F.col("node").alias("uid"), "label")), "labels")
 
 
-def similar_documents(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def similar_documents(docs: DataFrame, rounds: int = 1) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, with k1 and k2 (128 bits of doc_id and text), uid (row) and label (component)."""
     docs = docs.select("doc_id", "text")
     survey = stage(_surveyed(docs), "shingle-survey")
-    top = survey.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
+    levels = docs.sparkSession.sparkContext.broadcast(_levels(survey.where("h is not null").select("h", "c")))
     costs = survey.where("n is not null").groupBy("n").agg(F.sum("scan"), F.sum("pairs")).collect()  # one row per size up to LARGEST_SMALL
-    h = top["h"].to_numpy("int64").view("uint64")
-    by_hash = np.argsort(h)
-    frequent = docs.sparkSession.sparkContext.broadcast((h[by_hash], top["c"].to_numpy("int64")[by_hash]))
     small = boundary([tuple(r) for r in costs])
     drop_stage(survey)
-    signed = stage(_signatures(docs, frequent, small), "signatures")
+    signed = stage(_signatures(docs, levels, small), "signatures")
     classes = stage(signed.where("n > 0").groupBy("set", "n").agg(F.min("uid").alias("class")), "classes")
     members, rows = _list_members(signed, classes, small), signed.select("doc_id", "k1", "k2", "uid", "n", "set")
     labels = stage(docs.sparkSession.createDataFrame([], "uid long, label long"), "labels")
