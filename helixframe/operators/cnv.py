@@ -33,10 +33,16 @@ def cnv_filter_matrix(coverage: DataFrame, *, min_target_length: int = 10, max_t
     return kept.withColumn("value", F.col("mean_depth") - F.avg("mean_depth").over(by_target))
 
 
+#: Rounding error of the removal, relative to the values it starts from.
+_ROUNDING = 1e-9
+
+
 def cnv_pca_normalise(matrix: DataFrame, factor: float = 0.7, value: str = "value") -> DataFrame:
     """Subtract the principal components whose variance exceeds ``factor`` times the mean variance.
 
-    Rows are targets and columns samples; only the samples-by-samples matrix reaches the driver.
+    Rows are targets and columns samples; only the samples-by-samples matrix reaches the driver. What is left of a target
+    counts as zero where it is within rounding error (``_ROUNDING`` of the target's largest value): were all components removed, the
+    rest would be noise that depends on the order of rows.
     """
     wide = stage(matrix.groupBy(*_REGION).agg(F.array_sort(F.collect_list(F.struct("sample", F.col(value).alias("v"))))
                                               .alias("cells")), "depth-matrix")
@@ -59,7 +65,8 @@ def cnv_pca_normalise(matrix: DataFrame, factor: float = 0.7, value: str = "valu
         if rows.empty:
             return rows
         x = np.stack(rows.to_list())
-        return pd.Series(list(x - (x @ axes.value) @ axes.value.T))
+        left = x - (x @ axes.value) @ axes.value.T
+        return pd.Series(list(np.where(np.abs(left) <= _ROUNDING * np.abs(x).max(axis=1, keepdims=True), 0.0, left)))
 
     clean = wide.withColumn("clean", subtract("cells.v"))
     return clean.select(*_REGION, F.explode(F.arrays_zip(F.col("cells.sample").alias("sample"), F.col("clean"))).alias("z")).select(
