@@ -326,7 +326,7 @@ _MEMBER = ("uid", "n", "label", "place", "small", "light", "lone", "end_rank", "
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    return lookup_join(members, labels, ["uid"], "left", ["list"], BROADCAST).withColumn("label", F.coalesce("label", "uid"))
 
 
 def _hub_pairs(members: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
