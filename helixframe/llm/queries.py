@@ -43,7 +43,8 @@ def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_pages(spark, _table(spark, sf_dir, "pages"))
+    found = archive_pages(spark, _table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +113,16 @@ def _lloyd(rounds: int, k: int, dims: int) -> str:
     return ",\n        ".join(steps)
 
 
+#: A SHA-1 in hex as base32: five hex digits hold four letters.
+_BASE32 = ("array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+           "((cast(concat('0x', substr(h, (k // 4) * 5 + 1, 5)) as bigint) >> cast(15 - 5 * (k % 4) as bigint)) & 31) + 1, 1)), '')")
+
 ORACLE: dict[str, str] = {
+    "op5_warc": f"""
+        with p as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h, max(page_id) over (partition by coalesce(html, '')) as last from pages)
+        select page_id, cast(strlen(body) as bigint) as payload_bytes, {_BASE32} as payload_digest,
+            case when page_id = last then 'response' else 'revisit' end as record_type, case when page_id <> last then last end as refers_to
+        from p""",
     "op11_centroids": f"""
         with {_lloyd(3, 16, 64)},
         shas as (select c as cluster, sha256(string_agg(cast(x as varchar), ',' order by j)) as centroid_sha256 from c3 group by c),
