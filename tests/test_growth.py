@@ -4,9 +4,10 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+import helixframe.functions as fn
 from checks import fixtures
 from checks.queries import QUERIES
-from helixframe.operators import align
+from helixframe.operators import align, bases, intervals, recal
 from helixframe.runtime import salted_join
 from helixframe.sources.sam import scan_sam
 
@@ -76,3 +77,22 @@ def test_numbers_of_many_digits_are_still_told_apart(spark, tmp_path):
     path.write_text("\n".join(good + bad) + "\n")
     got = scan_sam(spark, str(path), "SILENT").select("start0", "tlen", "cigar").collect()
     assert sorted(map(tuple, got)) == [(0, -5, "4M"), (0, 0, "*"), (0, 0, "2M1I1M"), (12345678900, 0, "4M")]
+
+
+def test_quality_strings_are_not_taken_apart_letter_by_letter(spark):
+    rows = [("I/0",), ("",), (None,), ("é!~",), ("5I",)]
+    df = spark.createDataFrame(rows, "q string").coalesce(1)
+    decoded = fn.phred_decode("q")
+    out = df.select(decoded.alias("d"), fn.phred_encode(decoded).alias("e"), fn.quality_sum("q", 15).alias("s"))
+    assert "lambdafunction" not in _plan(out)
+    assert [tuple(r) for r in out.collect()] == [([40, 14, 15], "I/0", 55), ([], "", 0), (None, None, None), ([200, 0, 93], "é!~", 293), ([20, 40], "5I", 60)]
+    lists = spark.createDataFrame([([1, None, 40],), (None,), ([],), ([-40, 300, 93],), ([None],)], "a array<int>").coalesce(1)
+    assert [r[0] for r in lists.select(fn.phred_encode("a")).collect()] == ['"I', None, "", "M~", ""]
+
+
+def test_a_clip_that_is_not_there_is_not_cast(spark):
+    """A failed try_cast throws and catches an exception, for each read."""
+    df = spark.createDataFrame([("36M", 0), ("6S30M", 6), ("2H6S30M", 8), ("2H30M", 2), ("30M6S", 0), ("*", 0), (None, 0)], "cigar string, want int").coalesce(1)
+    clip = fn.unclipped_5p("cigar", F.lit(0), F.lit(1), F.lit(False))
+    assert "contains" in _plan(df.select(clip)).lower()
+    assert all(-r[0] == r[1] for r in df.select(clip, "want").collect())
