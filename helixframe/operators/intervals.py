@@ -31,16 +31,18 @@ def _slots(level: int, width: int, side: int, when):
 
 @dataclass
 class _Size:
-    """What is known of one side: rows, bytes, and the length of its longest interval."""
+    """What is known of one side: rows, bytes, the length of its longest interval and of all together."""
     rows: int
     bytes: int
     longest: int
+    total: int
 
 
 def _size_of(df: DataFrame, with_bytes: bool) -> _Size:
     text = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(16)) if with_bytes else F.lit(0)
-    r = df.agg(F.count("*").alias("n"), F.sum(text).alias("b"), F.max(F.col("end0") - F.col("start0")).alias("l")).first()
-    return _Size(r["n"], r["b"] or 0, r["l"] or 0)
+    r = df.agg(F.count("*").alias("n"), F.sum(text).alias("b"), F.max(F.col("end0") - F.col("start0")).alias("l"),
+               F.sum(F.col("end0") - F.col("start0")).alias("t")).first()
+    return _Size(r["n"], r["b"] or 0, r["l"] or 0, r["t"] or 0)
 
 
 def _widths(longest: int, bin_width: int) -> list[int]:
@@ -70,7 +72,12 @@ def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", *, bin_w
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unknown join type {how!r}")
     spans = right.select("contig", "start0", "end0").where("contig is not null and end0 > start0")
-    if 24 * spans.count() <= broadcast_bytes:
+    few = 24 * spans.count() <= broadcast_bytes
+    if not few or (how == "left" and _size_of(right.where("contig is not null and end0 > start0"), True).bytes * 4 > broadcast_bytes):
+        joined = _by_start(left, right, how, bin_width, right_prefix, salts)
+        if joined is not None:
+            return joined
+    if few:
         hit = _union_probe(spans)
         if how == "left_semi":
             return left.where(hit)
@@ -136,10 +143,57 @@ def _pairs(left: DataFrame, right: DataFrame, bin_width: int, prefix: str, salts
     if theirs.bytes * 2 * (top_left + 2) <= broadcast_bytes:
         joined = binned_left.join(F.broadcast(binned_right), meets)
     else:
-        joined = _spread(binned_left, binned_right, mine.rows, salts, hashable_columns(left), meets)
+        joined = _by_start(left, right, "inner", bin_width, prefix, salts, (mine, theirs))
+        if joined is None:
+            joined = _spread(binned_left, binned_right, mine.rows, salts, hashable_columns(left), meets)
     return joined.select(*left.columns, *[prefix + c for c in right.columns])
 
 
+def _by_start(left: DataFrame, right: DataFrame, how: str, bin_width: int, prefix: str, salts: int,
+              sizes: tuple[_Size, _Size] | None = None) -> DataFrame | None:
+    """The join with every left row in one bin only, that of its start, and right rows in all bins where a left row that meets them can start.
+
+    So every join type is one shuffle of the left rows as they are; rows without a place are dealt out and meet nothing. Hot bins are spread
+    over ``salts`` tasks. None where long right rows would lie in too many bins: more than four a level on average and than there are left rows.
+    """
+    placed = "contig is not null and end0 > start0"
+    mine, theirs = sizes or (_size_of(left.where(placed), False), _size_of(right.where(placed), False))
+    widths, span = _widths(mine.longest, bin_width), F.col("end0") - F.col("start0")
+    if sum(theirs.total // w + 2 * theirs.rows for w in widths) > max(4 * len(widths) * theirs.rows, mine.rows):
+        return None
+
+    def bin_of(at, width):
+        return F.floor((at - F.pmod(at, F.lit(width).cast("bigint"))) / width)
+
+    first = F.col("start0").cast("bigint")
+    level, at = F.lit(len(widths) - 1), bin_of(first, widths[-1])
+    for k in range(len(widths) - 2, -1, -1):
+        level, at = F.when(span <= widths[k], F.lit(k)).otherwise(level), F.when(span <= widths[k], bin_of(first, widths[k])).otherwise(at)
+    spread = [c for c in READ_KEY if c in left.columns] if set(READ_KEY) <= set(left.columns) else hashable_columns(left)
+    near = left.withColumn("_lane", F.when(F.expr(placed), level).otherwise(F.lit(-1))).withColumn(
+        "_bin", F.when(F.expr(placed), at).otherwise(salt_of(spread, 4096).cast("bigint")))
+
+    def reached(k, w):
+        bins = F.sequence(bin_of(first - (w - 1), w), bin_of(F.col("end0").cast("bigint") - 1, w))
+        return F.transform(bins, lambda b: F.struct(F.lit(k).alias("lane"), b.alias("bin")))
+
+    reach = [reached(k, w) for k, w in enumerate(widths)]
+    far = right.where(placed).withColumn("_s", F.explode(F.concat(*reach))).select(
+        F.col("contig").alias("_c"), F.col("_s.lane").alias("_l"), F.col("_s.bin").alias("_b"), *[F.col(c).alias(prefix + c) for c in right.columns])
+    hot = (near.groupBy("contig", "_lane", "_bin").count().where((F.col("_lane") >= 0) & (F.col("count") > max(1, mine.rows // 500)))
+           .select(F.col("contig").alias("_hc"), F.col("_lane").alias("_hl"), F.col("_bin").alias("_hb"), F.lit(True).alias("_hot")))
+    hot = F.broadcast(stage(hot, "hot-bins"))  # 500 rows at most
+    of_near = (F.col("contig") == F.col("_hc")) & (F.col("_lane") == F.col("_hl")) & (F.col("_bin") == F.col("_hb"))
+    of_far = (F.col("_c") == F.col("_hc")) & (F.col("_l") == F.col("_hl")) & (F.col("_b") == F.col("_hb"))
+    copies = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    near = near.join(hot, of_near, "left").withColumn("_salt", F.when(F.col("_hot"), salt_of(spread, salts)).otherwise(F.lit(0))).drop("_hc", "_hl", "_hb", "_hot")
+    far = far.join(hot, of_far, "left").withColumn("_copy", copies).drop("_hc", "_hl", "_hb", "_hot")
+    meets = ((F.col("contig") == F.col("_c")) & (F.col("_lane") == F.col("_l")) & (F.col("_bin") == F.col("_b")) & (F.col("_salt") == F.col("_copy"))
+             & (F.col("start0") < F.col(f"{prefix}end0")) & (F.col(f"{prefix}start0") < F.col("end0")))
+    joined = near.join(far.hint("merge"), meets, how)
+    return joined.select(*left.columns, *([prefix + c for c in right.columns] if how in ("inner", "left") else []))
+
+
 def _spread(left: DataFrame, right: DataFrame, rows: int, salts: int, spread: list[str], meets) -> DataFrame:
     """The join with the few slots that hold more than a five-hundredth of the left rows spread over ``salts`` tasks each."""
     hot = (left.groupBy("contig", "_slot").count().where(F.col("count") > max(1, rows // 500))

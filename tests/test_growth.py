@@ -96,3 +96,15 @@ def test_a_clip_that_is_not_there_is_not_cast(spark):
     clip = fn.unclipped_5p("cigar", F.lit(0), F.lit(1), F.lit(False))
     assert "contains" in _plan(df.select(clip)).lower()
     assert all(-r[0] == r[1] for r in df.select(clip, "want").collect())
+
+
+def test_rows_of_a_wide_join_are_shuffled_once_and_not_written(spark):
+    a = spark.range(300).selectExpr("concat('x', id) as name", "'chr1' as contig", "id * 10 as start0", "id * 10 + 300 as end0", "repeat('A', 50) as text")
+    a = a.unionByName(spark.createDataFrame([("none", None, None, None, "A")], "name string, contig string, start0 bigint, end0 bigint, text string"))
+    b = spark.range(60).selectExpr("'chr1' as contig", "id * 50 as start0", "id * 50 + 7 as end0", "id as k")
+    want = a.join(b.select(F.col("contig").alias("c"), F.col("start0").alias("s"), F.col("end0").alias("e"), "k"), F.expr("contig = c and start0 < e and s < end0"), "left")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        out = intervals.overlap_join(a, b, how, broadcast_bytes=0)
+        assert "left-rows" not in " ".join(out.inputFiles()) and _plan(out).count("SortMergeJoin") == 1
+    got = intervals.overlap_join(a, b, "left", broadcast_bytes=0)
+    assert sorted(map(str, got.select("name", "r_k").collect())) == sorted(map(str, want.select("name", F.col("k").alias("r_k")).collect()))
