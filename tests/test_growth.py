@@ -98,6 +98,15 @@ def test_a_clip_that_is_not_there_is_not_cast(spark):
     assert all(-r[0] == r[1] for r in df.select(clip, "want").collect())
 
 
+def test_a_reference_too_long_to_broadcast_is_not_copied(spark, monkeypatch):
+    monkeypatch.setattr(bases, "_BROADCAST_BYTES", 1)
+    blocks = spark.createDataFrame([("c", 0, "ACGT"), ("c", 1, "TTTT")], "contig string, block bigint, seq string")
+    reads = spark.createDataFrame([("c", 2, "4M", "GTTT")], "contig string, start0 bigint, cigar string, sequence string")
+    out = bases.with_reference(bases.aligned_pieces(reads, ["contig", "sequence"], 4), blocks, 4)
+    assert "SortMergeJoin" in _plan(out) and "_salt" not in _plan(out)
+    assert sorted(r.ref for r in out.collect()) == ["GT", "TT"]
+
+
 def test_rows_of_a_wide_join_are_shuffled_once_and_not_written(spark):
     a = spark.range(300).selectExpr("concat('x', id) as name", "'chr1' as contig", "id * 10 as start0", "id * 10 + 300 as end0", "repeat('A', 50) as text")
     a = a.unionByName(spark.createDataFrame([("none", None, None, None, "A")], "name string, contig string, start0 bigint, end0 bigint, text string"))
@@ -108,3 +117,14 @@ def test_rows_of_a_wide_join_are_shuffled_once_and_not_written(spark):
         assert "left-rows" not in " ".join(out.inputFiles()) and _plan(out).count("SortMergeJoin") == 1
     got = intervals.overlap_join(a, b, "left", broadcast_bytes=0)
     assert sorted(map(str, got.select("name", "r_k").collect())) == sorted(map(str, want.select("name", F.col("k").alias("r_k")).collect()))
+
+
+def test_tables_of_read_groups_that_fit_are_sent_to_the_reads(spark):
+    reads = spark.createDataFrame([("a", 0, "ACGT", "IIII", "g1"), ("b", 16, "ACGA", "I5I5", "g2"), ("c", 0, "AC", "III", "g1"), ("d", 0, "AC", "II", None),
+                                   ("e", 0, None, None, "g1"), ("f", 0, "", "", "g3")], "read_name string, flag int, sequence string, qualities string, read_group string").withColumn("start0", F.lit(1))
+    table = spark.createDataFrame([(g, q, c, x, 50, 3) for g in ("g1", "g2", "") for q, c, x in (
+        (None, None, None), (40, None, None), (40, 1, None), (40, None, "NA"), (20, None, None), (20, -2, None))],
+        "read_group string, quality int, cycle int, context string, observations bigint, mismatches bigint")
+    near = recal.apply_recalibration(reads, table)
+    assert "hashpartitioning" not in _plan(near)
+    assert near.schema == reads.schema and sorted(map(str, near.collect())) == sorted(map(str, recal.apply_recalibration(reads, table, broadcast_bytes=-1).collect()))
