@@ -219,6 +219,45 @@ def test_katz_rare_words_are_joined(docs, monkeypatch):
     assert in_order((*r[:5], round(r[5], 6)) for r in whole) == in_order((*r[:5], round(r[5], 6)) for r in few)
 
 
+@pytest.mark.parametrize("known", [katz.KNOWN, 40, 1])
+@pytest.mark.parametrize("chunk", [katz.CHUNK, 900])
+def test_katz_every_word_has_its_bigrams(spark, monkeypatch, known, chunk):
+    """Against a plain model of all words, however few of them are told to the tasks."""
+    monkeypatch.setattr(katz, "KNOWN", known)
+    monkeypatch.setattr(katz, "CHUNK", chunk)
+    rng = random.Random(11)
+    given = [(i, " ".join(rng.choice([f"w{int(rng.expovariate(0.03))}", f"x{rng.randrange(400)}", "the", "of"]) for _ in range(rng.randrange(60))))
+             for i in range(120)] + [(None, "x1 x2 w3"), (7, "never-met-word the"), (7, None)]
+    tokens = [["", *words(t), ""] for _, t in given]  # an end in front, and one behind
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in given]
+    unigrams = collections.Counter(x for own, out in zip(tokens, held) if not out for x in own[1:])
+    bigrams = collections.Counter(p for own, out in zip(tokens, held) if not out for p in zip(own, own[1:]))
+    ratio = lambda counts: katz.good_turing(np.array([0, *[sum(c == r for c in counts.values()) for r in range(1, 7)]], dtype=float))
+    total, d1, d2 = sum(unigrams.values()), ratio(unigrams), ratio(bigrams)
+    p = {w: c * (d1[c] if c <= 5 else 1) / total for w, c in unigrams.items()}
+    rest = max(1 - sum(p.values()), 1 / (total + 1))
+    p = {w: x * (1 - rest) / sum(p.values()) for w, x in p.items()}
+    after = collections.defaultdict(dict)
+    for (a, b), c in bigrams.items():
+        after[a][b] = c
+
+    def probability(a, b):
+        if a not in after:
+            return p.get(b, rest)
+        size = sum(after[a].values())
+        kept = {w: c * (d2[c] if c <= 5 else 1) for w, c in after[a].items()}
+        scale = min(1, size / (size + 1) / (sum(kept.values()) / size)) / size
+        if b in kept:
+            return kept[b] * scale
+        return (1 - sum(kept.values()) * scale) / max(1e-12, 1 - sum(p[w] for w in kept)) * p.get(b, rest)
+
+    assert abs(sum(probability("x1", w) for w in unigrams) + probability("x1", "unknown") - 1) < 1e-9
+    expected = [(i, len(own) - 1, round(sum(math.log10(probability(*x)) for x in zip(own, own[1:])), 6)) for (i, _), own in zip(given, tokens)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    found = katz.score_texts(docs).collect()
+    assert in_order((r["doc_id"], r["n_tokens"], round(r["score"], 6)) for r in found) == in_order(expected)
+
+
 def test_katz_context_sums_to_one():
     import numpy as np
 
