@@ -15,11 +15,14 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.runtime import stage
+from helixframe.runtime import fits, stage
 
+#: Patterns up to which they are told to all tasks; beyond it spans are joined to the texts.
+PATTERNS = 100_000
 KINDS = ["email", "ip", "card", "phone", "secret"]
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -102,13 +105,18 @@ def candidates(text: str, base: list[tuple[str, int, int]], words: int = 2, shor
     return rows
 
 
+def _seen_in(text: str) -> tuple[list[tuple], list[tuple]]:
+    """Base spans, and (start, end, context, digest of the instance, kind or None) of all candidates with a context."""
+    base = base_spans(text)
+    return base, [(a, b, c.lower(), hashlib.sha1(t.encode("utf-8", "replace")).hexdigest()[:16], kind)
+                  for a, b, c, t, kind in candidates(text, base) if c]
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"]):
-            base = base_spans(text)
-            more = [(a, b, c.lower(), hashlib.sha1(t.encode("utf-8", "replace")).hexdigest()[:16], kind)
-                    for a, b, c, t, kind in candidates(text, base) if c]
+            base, more = _seen_in(text)
             out.append((doc_id, key, base, more))
         frame = pd.DataFrame(out, columns=["doc_id", "key", "base", "more"])
         yield frame.astype({"doc_id": "Int64"})
@@ -147,10 +155,11 @@ def trusted_patterns(found: DataFrame, rounds: int = 3, support: int = 3, confid
     return best
 
 
-def _with_spans(scanned: DataFrame) -> DataFrame:
+def _with_spans(scanned: DataFrame, patterns: DataFrame | None = None) -> DataFrame:
     """doc_id, key, base and extra (spans the method adds), one row per row of ``scanned``."""
     found = scanned.select("key", F.explode("more").alias("m")).select("key", "m.*")
-    patterns = trusted_patterns(found.select("context", "instance", "kind"))
+    if patterns is None:
+        patterns = trusted_patterns(found.select("context", "instance", "kind"))
     added = found.where("kind is null or kind = 'secret'").join(patterns, "context", "left").select(
         "key", F.struct(F.coalesce("kind", "pattern_kind").alias("kind"), "a", "b").alias("s")).where("s.kind is not null")
     extra = added.groupBy("key").agg(F.collect_set("s").alias("extra"))
@@ -173,27 +182,69 @@ def find_pii(docs: DataFrame) -> DataFrame:
                        _listed(F.concat("base", F.coalesce("extra", none))).alias("spans"))
 
 
+def _without(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """``text`` with its spans (start, end, kind) replaced."""
+    parts, done = [], 0
+    for a, b, kind in sorted(spans):
+        if a >= done:
+            parts += [text[done:a], f"<{kind.upper()}>"]
+        done = max(done, b)
+    return "".join([*parts, text[done:]])
+
+
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        texts = []
-        for text, spans in zip(batch["text"], batch["spans"]):
-            if text and spans is not None and len(spans):
-                parts, done = [], 0
-                for a, b, kind in sorted((s["a"], s["b"], s["kind"]) for s in spans):
-                    if a >= done:
-                        parts += [text[done:a], f"<{kind.upper()}>"]
-                    done = max(done, b)
-                text = "".join([*parts, text[done:]])
-            texts.append(text)
+        texts = [_without(text, [(s["a"], s["b"], s["kind"]) for s in spans]) if text and spans is not None and len(spans) else text
+                 for text, spans in zip(batch["text"], batch["spans"])]
         yield batch.drop(columns=["spans", "text"]).assign(text=texts)
 
 
 def redact_pii(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in angle brackets; other columns as they were.
 
-    ``n_chars``, where there is one, is counted anew. Texts without a span are passed as they are.
+    ``n_chars``, where there is one, is counted anew. Texts without a span are passed as they are. Texts are read twice, for
+    the patterns and to be cut where they are: they are not shuffled, unless there are more patterns than PATTERNS.
     """
-    rows = _with_spans(stage(_scanned(docs), "pii-scanned"))
+    patterns = stage(trusted_patterns(_found(docs)), "pii-trusted")
+    both = _cut_in_place(docs, patterns) if fits(patterns, PATTERNS) else _cut_by_join(docs, patterns)
+    if "n_chars" in docs.columns:
+        both = both.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return both
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """context, instance, kind of all candidates."""
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([x[2:] for text in batch["text"] for x in _seen_in(text)[1]], columns=["context", "instance", "kind"])
+
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(find, "context string, instance string, kind string")
+
+
+def _cut_in_place(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    table = docs.sparkSession.sparkContext.broadcast({r["context"]: r["pattern_kind"] for r in patterns.collect()})  # at most PATTERNS rows
+    at = docs.columns.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text in batch.column(at).to_pylist():
+                if text:
+                    base, more = _seen_in(text)
+                    spans = [(a, b, kind) for kind, a, b in base]
+                    spans += [(a, b, kind or table.value[c]) for a, b, c, _, kind in more if kind == "secret" or kind is None and c in table.value]
+                    text = _without(text, spans) if spans else text
+                texts.append(text)
+            columns = batch.columns
+            columns[at] = pa.array(texts, type=columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    named = docs.toDF(*[f"_c{k}" for k in range(len(docs.columns))])  # names that clash with nothing
+    return named.mapInArrow(cut, named.schema).toDF(*docs.columns)
+
+
+def _cut_by_join(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    rows = _with_spans(stage(_scanned(docs), "pii-scanned"), patterns)
     none = F.array().cast("array<struct<kind:string,a:int,b:int>>")
     spans = (rows.select("key", F.concat("base", F.coalesce("extra", none)).alias("spans")).where(F.size("spans") > 0)
              .dropDuplicates(["key"]))
@@ -206,7 +257,4 @@ def redact_pii(docs: DataFrame) -> DataFrame:
     plain = cut.where("spans is null").select(*[F.col("text").alias(text) if c == text else F.col(c) for c in own])
     schema = ", ".join(["key long", *[f"{f.name} {f.dataType.simpleString()}" for f in named.schema if f.name != text], "text string"])
     done = cut.where("spans is not null").mapInPandas(_cut, schema).withColumnRenamed("text", text).select(*pick)
-    both = plain.unionByName(done).toDF(*docs.columns)
-    if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return both
+    return plain.unionByName(done).toDF(*docs.columns)

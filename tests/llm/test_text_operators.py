@@ -200,6 +200,22 @@ def test_pii_base_spans(docs, rows):
     assert not any("@mail.example.org" in (r["text"] or "") for r in hidden.collect())
 
 
+def test_redaction_does_not_shuffle_texts(spark, tmp_path, monkeypatch):
+    """Cut where they are, or joined where there are too many patterns: the same texts."""
+    keys = [hashlib.md5(str(k).encode()).hexdigest() for k in range(9)]
+    given = [(k, f"mail u{k}@mail.example.org now\napi token {key} kept\nother {keys[0]}", k) for k, key in enumerate(keys)]
+    given += [(90, "\u65e5\u672c api token REF-123456 here, api token REF-99-77.", 1), (91, None, None), (92, "", 0), (None, "plain", 2**60 + 1), (93, "call +1 (555) 010-1234", 5), *[(94, f"x {keys[2]}", 3)] * 2]
+    docs = spark.createDataFrame([(i, "en", t, n) for i, t, n in given], "doc_id long, lang string, text string, `a.b` long").repartition(3)
+    cut = pii.redact_pii(docs)
+    assert "Join" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(pii, "PATTERNS", -1)
+    joined = pii.redact_pii(docs)
+    assert cut.columns == docs.columns and in_order(cut.collect()) == in_order(joined.collect())
+    texts = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert texts[3] == "mail <EMAIL> now\napi token <SECRET> kept\nother <SECRET>"
+    assert texts[91] is None and texts[None] == "plain" and texts[93] == "call <PHONE>"
+
+
 def test_katz_base_and_sums(docs, rows):
     tokens = [[*words(t), None] for _, t in rows]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
