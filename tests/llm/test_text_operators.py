@@ -312,6 +312,32 @@ def test_maximal_repeats_give_all_occurrences():
     assert found == {b"abc": {(0, 1), (0, 4), (1, 1), (1, 4), (2, 0)}, b"abcabc": {(0, 1), (1, 1)}}
 
 
+def test_repeats_of_a_task_take_memory_as_their_suffixes_do():
+    import tracemalloc
+
+    rng = random.Random(3)
+    given = [rng.randbytes(113) for _ in range(1500)]
+    tracemalloc.start()
+    try:
+        text, offset, common, before = repeats.suffixes(given, 50)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(text) == 1500 * 64 and peak < 6 * 113 * len(text)
+
+
+def test_parts_of_a_piece_do_not_meet():
+    import pandas as pd
+
+    rng = random.Random(4)
+    a, b = rng.randbytes(60), rng.randbytes(55)
+    given = [a, b, a + b"-" + b, b"x" + a[:52], a]
+    group = pd.DataFrame({"piece": given, "doc": [3, 1, 5, 4, 2], "p1": range(5), "p2": range(5)})
+    found = sorted(repeats._repeats(group)[["p1", "offset", "length"]].itertuples(index=False, name=None))
+    assert found == [(0, 0, 60), (2, 0, 60), (2, 61, 55), (3, 1, 52)]
+    assert not len(repeats._repeats(group[:1]))
+
+
 def test_shards_hold_every_sequence_once(spark, docs, rows, tmp_path):
     import tiktoken
 
