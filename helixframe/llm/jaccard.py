@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.bitmaps import bitmap_of, is_set
+from helixframe.llm.bitmaps import MOST_BITS, bitmap_of, is_set
 from helixframe.llm.words import WordHashes, mixed
 from helixframe.runtime import drop_stage, lookup_join, stage
 
@@ -47,6 +47,8 @@ CHUNK = 1_000_000
 SLOTS = 1 << 24
 _PIECE = 1 << 15
 LARGEST_SMALL = 64
+#: Bits, and numbers, of a part of the bitmap of shared lists.
+_BUCKET = 1 << 22
 #: Rows up to which keys are broadcast.
 BROADCAST = 200_000
 
@@ -189,26 +191,78 @@ def _entries(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(b"".join(texts), dtype=np.int64), rows, places
 
 
+def _shared_bits(entries: DataFrame, total: int, kept=lambda batch: batch) -> np.ndarray:
+    """Bitmap (see ``is_set``) of the numbers that ``entries`` (lists, subsets) hold more than once; ``total``: how many they hold.
+    ``kept`` gives the rows of a batch that count, so that one Python process a task does.
+
+    Only 32 bits of a number are moved, to the task of its part of the bitmap, and once for a chunk. A bit set by error costs work.
+    """
+    bits = _PIECE
+    while bits < min(2 * total, MOST_BITS):
+        bits *= 2
+    buckets = 1
+    while buckets * _BUCKET < max(bits, total) and buckets < bits >> 3:
+        buckets *= 2
+    width = bits // buckets
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            keys = keys.view(np.uint64)
+            place = (keys >> np.uint64(8)) & np.uint64(bits - 1)
+            bucket = (place // np.uint64(width)).astype(np.int64)
+            mark = (place % np.uint64(width) + (keys >> np.uint64(36)) * np.uint64(width)).astype(np.uint32)
+            order = np.lexsort((mark, bucket))
+            bucket, mark, many = bucket[order], mark[order], counts[order] > 1
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            parts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]))
+            return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array([mark[x:y].tobytes() for x, y in parts], pa.binary()),
+                                               pa.array([mark[x:y][many[x:y]].tobytes() for x, y in parts], pa.binary())], ["bucket", "marks", "many"])
+
+        for batch in map(kept, batches):
+            for column in ("lists", "subsets"):
+                held.append(_entries(batch, column)[0])
+                size += len(held[-1])
+            if size >= CHUNK:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        found, counts = np.unique(np.concatenate([np.frombuffer(m, dtype=np.uint32) for m in group["marks"]]), return_counts=True)
+        many = np.concatenate([found[counts > 1], *[np.frombuffer(m, dtype=np.uint32) for m in group["many"]]])
+        field = np.zeros(width, dtype=bool)
+        field[many & np.uint32(width - 1)] = True
+        return pd.DataFrame({"bucket": [key[0]], "bits": [np.packbits(field, bitorder="little").tobytes()]})
+
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    built = entries.mapInArrow(marks, "bucket long, marks binary, many binary").groupBy("bucket")
+    for row in built.applyInPandas(build, "bucket long, bits binary").toLocalIterator():  # at most MOST_BITS / 8 bytes
+        out[row["bucket"] * (width // 8):(row["bucket"] + 1) * (width // 8)] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
+
+
 def _list_members(signed: DataFrame, classes: DataFrame, small: int) -> DataFrame:
     """list, place, uid, n, on, lone, end_rank, end, small, light: the entries of all lists that compare anything, of one row of each class.
 
     ``on`` counts the lists the set shares, ``lone`` its prefix shingles that are in no other prefix (at least; a bit set by error hides some).
+    The rows of the classes are told by a bitmap, so that no list is moved for it; a copy that passes by error is a member like any other.
     """
     spark = signed.sparkSession
-    firsts = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi").select("uid", "n", "lists", "subsets", "end_rank", "end")
+    first = spark.sparkContext.broadcast(bitmap_of(classes.select(F.xxhash64("class").alias("key"))))
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for column in ("lists", "subsets"):
-                numbers, rows, _ = _entries(batch, column)
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(batch.column("n").to_numpy()[rows])], ["list", "n"])
+    def of_classes(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(is_set(first.value, batch.column("key").to_numpy())))
 
-    shared = stage(firsts.select("n", "lists", "subsets").mapInArrow(listed, "list long, n int").groupBy("list")
-                   .agg(F.count("*").alias("size"), F.max("n").alias("longest")).where("size > 1"), "shared-lists")
-    bitmap = spark.sparkContext.broadcast(bitmap_of(shared.select(F.col("list").alias("key"))))
+    held = signed.where("n > 0").withColumn("key", F.xxhash64("uid"))
+    total = signed.agg(F.coalesce(F.sum(F.octet_length("lists") + F.octet_length("subsets")), F.lit(0))).first()[0] // 8
+    bitmap = spark.sparkContext.broadcast(_shared_bits(held.select("lists", "subsets", "key"), total, of_classes))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in map(of_classes, batches):
             (lists, row, place), (subsets, row2, place2) = _entries(batch, "lists"), _entries(batch, "subsets")
             here, here2 = is_set(bitmap.value, lists), is_set(bitmap.value, subsets)
             lone = np.bincount(row[~here], minlength=batch.num_rows)
@@ -220,10 +274,12 @@ def _list_members(signed: DataFrame, classes: DataFrame, small: int) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], list(columns))
 
     light = F.col("list").bitwiseAND(1) == 1
-    passed = firsts.mapInArrow(entries, "list long, place int, uid long, n int, on int, lone int, end_rank long, end long")
+    passed = stage(held.select("uid", "n", "lists", "subsets", "end_rank", "end", "key").mapInArrow(entries, "list long, place int, uid long, n int, on int, lone int, end_rank long, end long"), "list-entries")
+    shared = stage(passed.groupBy("list").agg(F.count("*").alias("size"), F.max("n").alias("longest")).where("size > 1"), "shared-lists")
     # a list with small members only that meet by their subsets compares nothing
     compared = shared.where(light | (F.col("longest") > small) | (F.col("longest") < 2)).select("list")
     members = stage(passed.join(compared, "list", "left_semi").withColumns({"small": F.expr(f"n between 2 and {small}"), "light": light}), "list-members")
+    drop_stage(passed)
     drop_stage(shared)
     return members
 

@@ -312,6 +312,37 @@ def test_maximal_repeats_give_all_occurrences():
     assert found == {b"abc": {(0, 1), (0, 4), (1, 1), (1, 4), (2, 0)}, b"abcabc": {(0, 1), (1, 1)}}
 
 
+@pytest.mark.parametrize("bucket", [jaccard._BUCKET, 1 << 11])
+def test_shared_lists_are_told_by_a_bitmap(spark, monkeypatch, bucket):
+    from helixframe.llm.bitmaps import is_set
+
+    monkeypatch.setattr(jaccard, "_BUCKET", bucket)
+    rng = np.random.default_rng(6)
+    once, often = rng.integers(-1 << 63, 1 << 63, 30000), rng.integers(-1 << 63, 1 << 63, 300)
+    given = [(np.concatenate([some, often[k::3]]).tobytes(), often[k % 2::2].tobytes()) for k, some in enumerate(np.split(once, 6))] + [(b"", b"")]
+    entries = spark.createDataFrame(given, "lists binary, subsets binary").repartition(3)
+    bitmap = jaccard._shared_bits(entries, 30000 + 1500)
+    assert is_set(bitmap, often).all() and is_set(bitmap, once).mean() < 0.05
+    assert not jaccard._shared_bits(entries.limit(0), 0).any()
+
+
+def test_sets_are_not_moved_to_be_put_on_lists(spark, docs, monkeypatch):
+    plans, staged = {}, jaccard.stage
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, label)
+
+    monkeypatch.setattr(jaccard, "stage", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jaccard.similar_documents(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [x for label in ("shared-lists", "list-members") for x in plans[label].splitlines() if "Exchange" in x and "subsets" in x]
+    assert "subsets" not in plans["list-members"] and "Exchange" not in plans["list-entries"]
+
+
 def test_repeats_of_a_task_take_memory_as_their_suffixes_do():
     import tracemalloc
 
