@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import helixframe.functions as fn
 from checks import fixtures
 from checks.queries import QUERIES
-from helixframe.operators import align, bases, intervals, recal
+from helixframe.operators import align, bases, intervals, realign, recal
 from helixframe.runtime import salted_join
 from helixframe.sources.sam import scan_sam
 
@@ -128,3 +128,29 @@ def test_tables_of_read_groups_that_fit_are_sent_to_the_reads(spark):
     near = recal.apply_recalibration(reads, table)
     assert "hashpartitioning" not in _plan(near)
     assert near.schema == reads.schema and sorted(map(str, near.collect())) == sorted(map(str, recal.apply_recalibration(reads, table, broadcast_bytes=-1).collect()))
+
+
+def test_realignment_makes_the_bases_of_a_read_twice_at_most(spark):
+    """Once to try it on the candidates, once to give it back."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def bases_of(text):
+        made.add(1)
+        return text
+
+    ref = spark.createDataFrame([("chr1", 0, "ACGTTGCAAGCTTACGGATCCATTGACCGTAAGCTGGTCA")], "contig string, block bigint, seq string")
+    rows = [(f"r{k}", 0, "chr1", 10, 20, "10M", "CTTACGGATC") for k in range(50)] + [("d", 0, "chr1", 10, 22, "5M2D5M", "CTTACATCCA")]
+    reads = spark.createDataFrame(rows, "read_name string, flag int, contig string, start0 bigint, end0 bigint, cigar string, sequence string").withColumns(
+        {"sequence": bases_of.asNondeterministic()("sequence"), "qualities": F.lit("I" * 10)})
+    targets = spark.createDataFrame([("chr1", 5, 25)], "contig string, start0 bigint, end0 bigint")
+    assert realign.realign_indels(reads, targets, ref, width=40).count() == 51
+    assert realign.realign_indels(reads, targets, ref, width=40).agg(F.max("sequence")).first()[0]
+    assert made.value <= 4 * 51
+
+
+def test_code_of_the_reads_is_compiled(spark, tables):
+    """The digests are not in the one method of the whole stage, and a filter on end0 names the lengths once."""
+    plan = _plan(fixtures.Fixture(spark, tables).reads.where("end0 > start0").select("sequence"))
+    assert not [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("*") and "md5(" in line]
+    assert plan.count("THEN 86") <= 2
