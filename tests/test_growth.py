@@ -154,3 +154,18 @@ def test_code_of_the_reads_is_compiled(spark, tables):
     plan = _plan(fixtures.Fixture(spark, tables).reads.where("end0 > start0").select("sequence"))
     assert not [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("*") and "md5(" in line]
     assert plan.count("THEN 86") <= 2
+
+
+def test_covariates_are_counted_without_a_row_for_each_base(spark):
+    ref = spark.createDataFrame([("chr1", 0, "ACGTACGTAC"), ("chr1", 1, "GGTTNA")], "contig string, block bigint, seq string")
+    rows = [("a", 0, 2, "6M", "GTACGT", "IIIIII", "x"), ("b", 16 + 128, 8, "4M", "ACGG", "5555", None), ("short", 0, 0, "4M", "AT", "II", "x"),
+            ("none", 0, 0, "2M", "AC", None, "x"), ("uneven", 0, 0, "2M", "AC", "I", "x"), ("wide", 0, 0, "2M", "\u4e16C", "II", "x")]
+    reads = spark.createDataFrame(rows, "read_name string, flag int, start0 bigint, cigar string, sequence string, qualities string, read_group string").withColumn("contig", F.lit("chr1"))
+    table = recal.recalibration_table(reads, ref, None, 10)
+    assert "ascii(" not in _plan(table)
+    got = {(r.read_group, r.quality, r.cycle, r.context): (r.observations, r.mismatches) for r in table.collect()}
+    assert got["x", None, None, None] == (12, 4)  # a base of "short" and the two that it lacks differ, and the wide letter
+    assert got["x", -33, 3, None] == (1, 1) and got["x", -33, None, "T"] == (1, 1) and got["x", -33, None, ""] == (1, 1)
+    assert got["", 20, None, None] == (4, 0)
+    assert {c: got["", 20, c, None] for c in (-1, -2, -3, -4)} == {c: (1, 0) for c in (-1, -2, -3, -4)}
+    assert got["", 20, None, "NC"] == (1, 0) and got["", 20, None, "GT"] == (1, 0)
