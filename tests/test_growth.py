@@ -1,5 +1,7 @@
 """What must not grow with the tables: copied join sides, lone writers, work done twice."""
 import datetime
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from checks import fixtures
 from checks.queries import QUERIES
 from helixframe.operators import align, bases, intervals, realign, recal
 from helixframe.runtime import salted_join
+from helixframe.sources import sam
 from helixframe.sources.sam import scan_sam
 
 
@@ -169,3 +172,13 @@ def test_covariates_are_counted_without_a_row_for_each_base(spark):
     assert got["", 20, None, None] == (4, 0)
     assert {c: got["", 20, c, None] for c in (-1, -2, -3, -4)} == {c: (1, 0) for c in (-1, -2, -3, -4)}
     assert got["", 20, None, "NC"] == (1, 0) and got["", 20, None, "GT"] == (1, 0)
+
+
+def test_the_sample_of_a_long_path_is_told_in_one_pass():
+    """A name without a suffix was tried from each letter, at each length and for each rest."""
+    name = re.compile(sam._FILE_SAMPLE)
+    for path, sample in (("file:/a/S1.x.sam", "S1"), ("/a/b.sam/part-0", "b"), ("/a.sam/b.sam", "a"), ("/x/.hid.sam.gz", "hid"), ("/x/y.sam.bam", None), ("c.sam", "c")):
+        assert (name.search(path) or [None, None])[1] == sample
+    start = time.perf_counter()
+    assert name.search("/" + "a" * 4000 + "/S.sam")[1] == "S"
+    assert time.perf_counter() - start < 2
